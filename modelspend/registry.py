@@ -279,32 +279,15 @@ def fact_node_time(spark, sf_dir):
 
 # ---------------------------------------------------------------------- reports
 
+# Results whose terms are not exact in binary.
 USAGE_SUMS = [
     *[f"{p}_{m}" for m in ("dbus", "cost") for p in reports.AVG_MAX_TOTAL],
     "avg_execution_time_seconds",
-    "avg_gb_read",
-    "max_gb_read",
 ]
 USAGE_SAVINGS = ["estimated_dbus_saved", "estimated_cost_saved_usd"]
-CREDIT_SUMS = [
-    *[f"{p}_{m}" for m in ("credits", "cost") for p in reports.AVG_MAX_TOTAL],
-    "avg_execution_time_seconds",
-    "avg_gb_scanned",
-    "max_gb_scanned",
-]
-BYTES_SUMS = [
-    *[f"{p}_{m}" for m in ("on_demand_cost", "capacity_cost", "slot_minutes") for p in reports.AVG_MAX_TOTAL],
-    "avg_slots_per_query",
-    "avg_bytes_billed",
-    "avg_bytes_processed",
-    "avg_execution_time_seconds",
-]
-BYTES_SAVINGS = [
-    "estimated_on_demand_cost_saved_usd",
-    "estimated_slot_minutes_saved",
-    "estimated_bytes_billed_saved",
-    "estimated_execution_time_saved_seconds",
-]
+CREDIT_SUMS = ["avg_execution_time_seconds"]
+BYTES_SUMS = [f"{p}_{m}" for m in ("capacity_cost", "slot_minutes") for p in reports.AVG_MAX_TOTAL]
+BYTES_SAVINGS = ["estimated_slot_minutes_saved"]
 
 
 def _usage_history(spark, sources):
@@ -326,7 +309,8 @@ def model_cost_history_usage(spark, sf_dir):
 @query
 def model_cost_history_credits(spark, sf_dir):
     sources = X.sources(spark, sf_dir, *CREDIT_TABLES)
-    return reports.model_cost_history_credits(facts.fact_credits(spark, sources, SETTINGS))
+    history = reports.model_cost_history_credits(facts.fact_credits(spark, sources, SETTINGS))
+    return rounded(history, *CREDIT_SUMS)
 
 
 @query
@@ -357,7 +341,7 @@ def daily_savings_usage(spark, sf_dir):
 
 @query
 def daily_savings_credits(spark, sf_dir):
-    return _credit_daily(spark, sf_dir)
+    return rounded(_credit_daily(spark, sf_dir), *CREDIT_SUMS)
 
 
 @query

@@ -56,9 +56,9 @@ class Inputs:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table too small to be read in as many splits."""
+    """Use all cores on a table of fewer files than cores, such as the single-file test tables."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
 
 
 def _events(raw: DataFrame) -> DataFrame:

@@ -354,13 +354,11 @@ CONTEXT_JSON = "to_json({" + ", ".join(f"'{k}': {CONTEXT[k]}" for k in S.RUN_CON
 TRACKED = "command IN ('run', 'test', 'build', 'snapshot')"
 
 MAX_TOTAL = ("avg_run", "max_run", "total_run")
-USAGE_SUMS = [f"{p}_{m}" for m in ("dbus", "cost") for p in MAX_TOTAL] + [
-    "avg_execution_time_seconds", "avg_gb_read", "max_gb_read"]
+USAGE_SUMS = [f"{p}_{m}" for m in ("dbus", "cost") for p in MAX_TOTAL] + ["avg_execution_time_seconds"]
 USAGE_SAVINGS = ["estimated_dbus_saved", "estimated_cost_saved_usd"]
-BYTES_SUMS = [f"{p}_{m}" for m in ("on_demand_cost", "capacity_cost", "slot_minutes") for p in MAX_TOTAL] + [
-    "avg_slots_per_query", "avg_bytes_billed", "avg_bytes_processed", "avg_execution_time_seconds"]
-BYTES_SAVINGS = ["estimated_on_demand_cost_saved_usd", "estimated_slot_minutes_saved",
-                 "estimated_bytes_billed_saved", "estimated_execution_time_saved_seconds"]
+CREDIT_SUMS = ["avg_execution_time_seconds"]
+BYTES_SUMS = [f"{p}_{m}" for m in ("capacity_cost", "slot_minutes") for p in MAX_TOTAL]
+BYTES_SAVINGS = ["estimated_slot_minutes_saved"]
 
 ORDERS = "SELECT o_orderkey, o_orderstatus, o_orderpriority, o_orderdate::TIMESTAMP AS updated_at FROM orders"
 CTES["o"] = ORDERS
@@ -444,12 +442,12 @@ BODIES: dict[str, str] = {
     "fact_rpu": "SELECT * FROM fact_rpu ORDER BY estimated_cost_usd DESC, elapsed_time DESC",
     "fact_node_time": "SELECT * FROM fact_node ORDER BY estimated_cost_usd DESC, duration_seconds DESC",
     "model_cost_history_usage": rounded("SELECT * FROM hist_usage", *USAGE_SUMS),
-    "model_cost_history_credits": "SELECT * FROM hist_credits",
+    "model_cost_history_credits": rounded("SELECT * FROM hist_credits", *CREDIT_SUMS),
     "model_cost_history_bytes": rounded("SELECT * FROM hist_bytes", *BYTES_SUMS),
     "reuse_counts": "SELECT * FROM reuse",
     "reuse_execute_counts": "SELECT * FROM reuse_execute",
     "daily_savings_usage": rounded("SELECT * FROM daily_usage", *USAGE_SUMS, *USAGE_SAVINGS),
-    "daily_savings_credits": "SELECT * FROM daily_credits",
+    "daily_savings_credits": rounded("SELECT * FROM daily_credits", *CREDIT_SUMS),
     "daily_savings_bytes": rounded("SELECT * FROM daily_bytes", *BYTES_SUMS, *BYTES_SAVINGS),
     "savings_summary": """SELECT min(reuse_date) AS summary_start_date, max(reuse_date) AS summary_end_date,
         CAST(sum(reuse_count) AS BIGINT) AS total_reused_models,

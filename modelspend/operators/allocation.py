@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from modelspend.functions import costs
 from modelspend.functions.expressions import compute_resource, lit_date, overlap_seconds, whole_seconds_between
-from modelspend.operators.intervals import HOUR, MINUTE, Span, interval_join, without_match
+from modelspend.operators.intervals import HOUR, MINUTE, Span, interval_join, levels_in_use, without_match
 from modelspend.sources.staging import unstaged
 
 PERIOD_COLUMNS = [
@@ -27,7 +27,7 @@ PERIOD = Span("usage_start_time", "usage_end_time")
 QUERY = Span("start_time", "end_time")
 QUERY_COLUMNS = ["statement_id", "workspace_id", "resource_id", "start_time", "end_time"]
 
-SAME_RESOURCE = [("resource_id", "compute_resource_id"), ("workspace_id", "usage_workspace_id")]
+SAME_RESOURCE = [("compute_resource_id", "resource_id"), ("usage_workspace_id", "workspace_id")]
 
 
 def _shared_seconds() -> Column:
@@ -71,10 +71,10 @@ def usage_overlap_pairs(periods: DataFrame, queries: DataFrame) -> DataFrame:
     pairs = interval_join(
         periods,
         queries,
-        left_span=PERIOD,
-        right_span=QUERY,
+        small_span=PERIOD,
+        large_span=QUERY,
         condition=_overlaps(),
-        on=[(p, q) for q, p in SAME_RESOURCE],
+        on=SAME_RESOURCE,
         width=HOUR,
     )
     return pairs.withColumn("overlap_seconds", _shared_seconds())
@@ -128,23 +128,30 @@ def price_usage(usage: DataFrame, prices: DataFrame, as_of: date) -> DataFrame:
 
 
 def allocate_usage(
-    queries: DataFrame, totals: DataFrame, stage: Callable[[DataFrame], DataFrame] = unstaged
+    queries: DataFrame,
+    periods: DataFrame,
+    totals: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
 ) -> DataFrame:
     """Each query's share of every usage period it overlaps.
 
-    ``totals`` comes from :func:`usage_period_totals`, possibly with a unit price.
-    A query that overlaps no period keeps one row with zero usage.  The shares are
-    read twice, to return them and to find those queries; ``stage`` may store them.
+    ``totals`` are the :func:`usage_period_totals` of ``periods``, possibly with a
+    unit price added.  A query that overlaps no period keeps one row with zero
+    usage.  The shares are read twice, to return them and to find those queries;
+    ``stage`` may store them.
     """
+    if totals is None:
+        totals = usage_period_totals(periods, queries)
     extra = [c for c in totals.columns if c not in (*PERIOD_COLUMNS, "total_query_execution_seconds")]
     pairs = interval_join(
-        queries,
         totals,
-        left_span=QUERY,
-        right_span=PERIOD,
+        queries,
+        small_span=PERIOD,
+        large_span=QUERY,
         condition=_overlaps(),
         on=SAME_RESOURCE,
         width=HOUR,
+        small_levels=levels_in_use(periods, PERIOD, HOUR),
     )
     shares = stage(
         pairs.select(
@@ -173,8 +180,8 @@ def window_containment(windows: DataFrame, queries: DataFrame) -> DataFrame:
     return interval_join(
         summed,
         queries.select("query_id", "start_time", "end_time"),
-        left_span=Span("window_start", "window_end"),
-        right_span=QUERY,
+        small_span=Span("window_start", "window_end"),
+        large_span=QUERY,
         condition=(F.col("start_time") >= F.col("window_start")) & (F.col("end_time") <= F.col("window_end")),
         width=MINUTE,
     )

@@ -11,6 +11,10 @@ both expand to a handful of rows, and no range ever has to be cut or dropped.
 Two ranges meet on the higher of their two levels, in the first cell they share:
 each pair is found exactly once, with no ``distinct``.
 
+The larger side is expanded only on the levels the smaller side occupies, which a
+scalar subquery over the smaller side finds out, so for ranges of similar length
+it is hardly expanded at all.
+
 A hot key is spread over its time cells, and adaptive execution splits a cell
 that is still too big: the joins below are inner or left-anti joins, where
 either side's (or the left side's) hot partition may be split.
@@ -25,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FANOUT = 32  # how much wider the cells of the next level are
+TOP_LEVEL = 6  # reached by ranges of centuries
 
 HOUR = 3600
 MINUTE = 60
@@ -53,7 +58,7 @@ class Span:
         if self.is_point:
             return "0"
         steps = f"ceil(log({FANOUT}, ({self.high()} - {self.low()}) / {width}D)) - 1"
-        return f"cast(greatest(coalesce({steps}, 0), 0) AS int)"
+        return f"cast(least(greatest(coalesce({steps}, 0), 0), {TOP_LEVEL}) AS int)"
 
 
 def _seconds(ts: str) -> str:
@@ -62,8 +67,6 @@ def _seconds(ts: str) -> str:
 
 def levels_in_use(df: DataFrame, span: Span, width: int) -> Column:
     """Scalar subquery: the distinct levels a side occupies, a handful of numbers."""
-    if span.is_point:
-        return F.array(F.lit(0))
     return df.select(F.expr(span.level(width)).alias("level")).agg(F.collect_set("level")).scalar()
 
 
@@ -83,40 +86,50 @@ def in_cells(df: DataFrame, span: Span, peer_levels: Column, width: int, p: str)
     levels = f"array_distinct(transform({p}peers, l -> greatest(l, {p}level0)))"
     first = f"floor({p}low / ({width}D * power({FANOUT}D, l)))"
     last = f"floor({p}high / ({width}D * power({FANOUT}D, l)))"
-    place = f"named_struct('level', l, 'cell', c, 'own', l = {p}level0, 'first', c = {first})"
     if span.is_point:
         places = f"transform({levels}, l -> named_struct('level', l, 'cell', {first}, 'own', l = 0, 'first', true))"
     else:
+        place = f"named_struct('level', l, 'cell', c, 'own', l = {p}level0, 'first', c = {first})"
         places = f"flatten(transform({levels}, l -> transform(sequence({first}, {last}), c -> {place})))"
-    names = [f"{p}level", f"{p}cell", f"{p}own", f"{p}first"]
-    return spread.select(*df.columns, F.expr(f"inline({places})").alias(*names))
+    names = [f"{p}{name}" for name in CELL]
+    cells = spread.select("*", F.expr(f"inline({places})").alias(*names))
+    return cells.drop(f"{p}low", f"{p}high", f"{p}level0", f"{p}peers")
+
+
+CELL = ("level", "cell", "own", "first")
 
 
 def interval_join(
-    left: DataFrame,
-    right: DataFrame,
+    small: DataFrame,
+    large: DataFrame,
     *,
-    left_span: Span,
-    right_span: Span,
+    small_span: Span,
+    large_span: Span,
     condition: Column,
     on: Sequence[tuple[str, str]] = (),
     width: int = HOUR,
+    small_levels: Column | None = None,
 ) -> DataFrame:
     """Inner join of rows whose time ranges touch and that satisfy ``condition``.
 
     ``on`` pairs columns that must be equal.  ``condition`` is the exact test over
     both sides' columns (all names must differ between the sides) and may only
     accept ranges that have at least one instant in common.  ``width`` is the
-    lowest cell width in seconds, about the length of typical ranges.
+    lowest cell width in seconds, about the length of typical ranges.  Which side
+    is called small affects only the cost.  ``small_levels`` may give its
+    :func:`levels_in_use` if they are cheaper to find elsewhere.
     """
-    left_cells = in_cells(left, left_span, levels_in_use(right, right_span, width), width, "_l_")
-    right_cells = in_cells(right, right_span, levels_in_use(left, left_span, width), width, "_r_")
-    same_place = (F.col("_l_level") == F.col("_r_level")) & (F.col("_l_cell") == F.col("_r_cell"))
-    for l, r in on:
-        same_place = (F.col(l) == F.col(r)) & same_place
-    once = (F.col("_l_own") | F.col("_r_own")) & (F.col("_l_first") | F.col("_r_first"))
-    joined = left_cells.join(right_cells, same_place & once & condition, "inner")
-    return joined.select(*left.columns, *right.columns)
+    if small_levels is None:
+        small_levels = levels_in_use(small, small_span, width)
+    top = 0 if large_span.is_point else TOP_LEVEL
+    small_cells = in_cells(small, small_span, F.expr(f"sequence(0, {top})"), width, "_s_")
+    large_cells = in_cells(large, large_span, small_levels, width, "_l_")
+    same_place = (F.col("_s_level") == F.col("_l_level")) & (F.col("_s_cell") == F.col("_l_cell"))
+    for s, l in on:
+        same_place = (F.col(s) == F.col(l)) & same_place
+    once = (F.col("_s_own") | F.col("_l_own")) & (F.col("_s_first") | F.col("_l_first"))
+    joined = small_cells.join(large_cells, same_place & once & condition, "inner")
+    return joined.drop(*[f"{p}{name}" for p in ("_s_", "_l_") for name in CELL])
 
 
 def without_match(

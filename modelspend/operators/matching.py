@@ -75,8 +75,8 @@ def match_executions(
     joined = interval_join(
         executions,
         statements,
-        left_span=Span("run_started_at", "insert_timestamp"),
-        right_span=Span(AT, AT),
+        small_span=Span("run_started_at", "insert_timestamp"),
+        large_span=Span(AT, AT),
         condition=in_run,
         on=[(column, f"{META}{key}") for column, key in keys.items()],
         width=HOUR,

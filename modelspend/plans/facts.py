@@ -186,7 +186,7 @@ def usage_costs(
     priced = price_usage(
         usage_period_totals(periods, queries), sources.load(spark, "list_prices"), settings.as_of
     )
-    return allocate_usage(queries, priced, stage).select(
+    return allocate_usage(queries, periods, priced, stage).select(
         "statement_id",
         "sku_name",
         "dbus_consumed",

@@ -222,7 +222,7 @@ def usage_period_totals(spark, sf_dir):
 @query
 def usage_allocation(spark, sf_dir):
     _, queries, periods = _usage(spark, sf_dir)
-    return A.allocate_usage(queries, A.usage_period_totals(periods, queries), facts.stage_shared)
+    return A.allocate_usage(queries, periods, stage=facts.stage_shared)
 
 
 @query

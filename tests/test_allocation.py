@@ -17,7 +17,7 @@ def parts(spark, queries, periods):
 
 def allocate(spark, queries, periods):
     spans, units = parts(spark, queries, periods)
-    rows = A.allocate_usage(spans, A.usage_period_totals(units, spans)).collect()
+    rows = A.allocate_usage(spans, units).collect()
     return sorted((r.statement_id, r.sku_name, r.dbus_consumed) for r in rows)
 
 
@@ -105,7 +105,7 @@ def test_shares_add_up_to_the_quantity(spark):
         for h in range(22)
     ]
     spans, units = parts(spark, queries, periods)
-    sums = A.allocate_usage(spans, A.usage_period_totals(units, spans)).groupBy("sku_name").agg(F.sum("dbus_consumed"))
+    sums = A.allocate_usage(spans, units).groupBy("sku_name").agg(F.sum("dbus_consumed"))
     shared = {sku: total for sku, total in sums.collect() if sku is not None}
     assert len(shared) > 30
     for p in periods:

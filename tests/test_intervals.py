@@ -52,8 +52,8 @@ def test_overlap_equals_loop(spark, seed, width):
     joined = interval_join(
         l,
         r,
-        left_span=Span("ls", "le"),
-        right_span=Span("rs", "re"),
+        small_span=Span("ls", "le"),
+        large_span=Span("rs", "re"),
         on=[("lk", "rk")],
         condition=(F.col("ls") < F.col("re")) & (F.col("le") > F.col("rs")),
         width=width,
@@ -73,8 +73,8 @@ def test_containment_without_key_equals_loop(spark):
     joined = interval_join(
         l,
         r,
-        left_span=Span("ls", "le"),
-        right_span=Span("rs", "re"),
+        small_span=Span("ls", "le"),
+        large_span=Span("rs", "re"),
         condition=(F.col("rs") >= F.col("ls")) & (F.col("re") <= F.col("le")),
         width=60,
     )
@@ -92,8 +92,8 @@ def test_point_in_range_equals_loop(spark):
     joined = interval_join(
         l,
         r,
-        left_span=Span("ls", "le"),
-        right_span=Span("rs", "rs"),
+        small_span=Span("ls", "le"),
+        large_span=Span("rs", "rs"),
         on=[("lk", "rk")],
         condition=(F.col("rs") >= F.col("ls")) & (F.col("rs") <= F.col("le")),
     )
@@ -111,7 +111,7 @@ def test_copies_are_kept(spark):
     l = spark.createDataFrame(row * 3, SCHEMA).toDF("lk", "lid", "ls", "le")
     r = spark.createDataFrame(row * 2, SCHEMA).toDF("rk", "rid", "rs", "re")
     joined = interval_join(
-        l, r, left_span=Span("ls", "le"), right_span=Span("rs", "re"), condition=F.lit(True), on=[("lk", "rk")]
+        l, r, small_span=Span("ls", "le"), large_span=Span("rs", "re"), condition=F.lit(True), on=[("lk", "rk")]
     )
     assert joined.count() == 6
 
@@ -119,7 +119,7 @@ def test_copies_are_kept(spark):
 def test_empty_side(spark):
     _, _, l, r = both_sides(spark, 5)
     joined = interval_join(
-        l, r.filter("false"), left_span=Span("ls", "le"), right_span=Span("rs", "re"), condition=F.lit(True)
+        l, r.filter("false"), small_span=Span("ls", "le"), large_span=Span("rs", "re"), condition=F.lit(True)
     )
     assert joined.count() == 0
 

@@ -85,7 +85,7 @@ def test_allocation_never_reads_the_text(spark, stored):
     history = histories.usage_history(stored.load(spark, "usage_history"), B.SETTINGS)
     periods = A.usage_periods(stored.load(spark, "billing_usage"))
     spans = A.query_spans(history)
-    text = plan(A.allocate_usage(spans, A.usage_period_totals(periods, spans)))
+    text = plan(A.allocate_usage(spans, periods))
     found = scans(text, "usage_history")
     assert found and not any("statement_text" in s for s in found)
 

@@ -2,7 +2,9 @@
 
 Every function takes the session, the sources and the settings and returns a
 DataFrame.  Statement text is read once, and leaves the plan as soon as its
-metadata has been parsed unless the fact shows it.
+metadata has been parsed unless the fact shows it.  Where a fact reads an
+intermediate result twice, ``stage`` stores it in the session's shared folder;
+pass ``unstaged`` for a wholly lazy plan.
 """
 
 from __future__ import annotations
@@ -280,12 +282,25 @@ def fact_bytes_slots(spark: SparkSession, sources: Sources, settings: Settings)
     )
 
 
+def _most_expensive_first(fact: DataFrame, then_by: str, stage: Stage) -> DataFrame:
+    """Globally ordered fact.
+
+    A global sort runs its input twice, to sample the ranges and to sort, so the
+    fact is stored first and the histories are read once.
+    """
+    return stage(fact).orderBy(F.desc("estimated_cost_usd"), F.desc(then_by))
+
+
 def fact_rpu(
-    spark: SparkSession, sources: Sources, settings: Settings, ordered: bool = True
+    spark: SparkSession,
+    sources: Sources,
+    settings: Settings,
+    ordered: bool = True,
+    stage: Stage = stage_shared,
 ) -> DataFrame:
     """Serverless fact: statements that ran inside a usage window, most expensive first.
 
-    Pass ``ordered=False`` when the order is not needed: it costs a range shuffle.
+    Pass ``ordered=False`` when the order is not needed: it costs a global sort.
     """
     history = histories.rpu_history(sources.load(spark, "rpu_history"), settings)
     charged = charged_seconds_per_query(sources.load(spark, "serverless_usage"), history)
@@ -301,11 +316,15 @@ def fact_rpu(
         "query_execution_time",
         "queue_time",
     )
-    return fact.orderBy(F.desc("estimated_cost_usd"), F.desc("elapsed_time")) if ordered else fact
+    return _most_expensive_first(fact, "elapsed_time", stage) if ordered else fact
 
 
 def fact_node_time(
-    spark: SparkSession, sources: Sources, settings: Settings, ordered: bool = True
+    spark: SparkSession,
+    sources: Sources,
+    settings: Settings,
+    ordered: bool = True,
+    stage: Stage = stage_shared,
 ) -> DataFrame:
     """Provisioned fact: statement time at the whole cluster's price, most expensive first."""
     rates = settings.rates
@@ -321,4 +340,4 @@ def fact_node_time(
         costs.node_cost_per_second(rates.per_node_hour, rates.node_count).alias("cluster_cost_per_second"),
         costs.node_time_cost(seconds, rates.per_node_hour, rates.node_count).alias("estimated_cost_usd"),
     )
-    return fact.orderBy(F.desc("estimated_cost_usd"), F.desc("duration_seconds")) if ordered else fact
+    return _most_expensive_first(fact, "duration_seconds", stage) if ordered else fact

@@ -19,8 +19,8 @@ from modelspend.functions.expressions import (
     to_naive_utc,
 )
 
-# Statement kinds left out of node-time costs (any letter case).
-UTILITY_STATEMENTS = ("COMMIT%", "BEGIN%", "FETCH%", "SET%", "INSERT INTO %")
+# How statements start that node-time costs leave out (any letter case).
+UTILITY_STATEMENTS = ("COMMIT", "BEGIN", "FETCH", "SET", "INSERT INTO ")
 LAST_SYSTEM_USER = 1
 
 
@@ -83,13 +83,12 @@ def rpu_history(history: DataFrame, settings: Settings) -> DataFrame:
 
 def node_history(history: DataFrame, settings: Settings) -> DataFrame:
     """User statements of the tracked database, utility statements left out."""
-    kept = (
+    is_utility = F.col("query_text").rlike(f"(?i)^(?:{'|'.join(UTILITY_STATEMENTS)})")
+    return history.filter(
         (F.col("user_id") > LAST_SYSTEM_USER)
         & (F.col("start_time") >= lit_timestamp(settings.monitor_start))
         & (F.col("database_name") == settings.database)
-    )
-    for pattern in UTILITY_STATEMENTS:
-        kept = kept & ~F.col("query_text").ilike(pattern)
-    return history.filter(kept).withColumn(
+        & ~is_utility
+    ).withColumn(
         "duration_seconds", second_boundaries_between(F.col("start_time"), F.col("end_time"))
     )

@@ -47,8 +47,8 @@ BUILDS = {
     "usage_split": lambda s, src: facts.fact_usage_split(s, src, B.SETTINGS, unstaged),
     "credits": lambda s, src: facts.fact_credits(s, src, B.SETTINGS),
     "bytes": lambda s, src: facts.fact_bytes_slots(s, src, B.SETTINGS),
-    "rpu": lambda s, src: facts.fact_rpu(s, src, B.SETTINGS),
-    "node": lambda s, src: facts.fact_node_time(s, src, B.SETTINGS),
+    "rpu": lambda s, src: facts.fact_rpu(s, src, B.SETTINGS, stage=unstaged),
+    "node": lambda s, src: facts.fact_node_time(s, src, B.SETTINGS, stage=unstaged),
 }
 
 

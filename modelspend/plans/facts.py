@@ -207,8 +207,13 @@ def fact_usage_split(
     """
     matches = usage_matches(spark, sources, settings, stage)
     shares = usage_costs(spark, sources, settings, stage)
-    costed = matches.matched.join(shares, F.col("query_id") == F.col("statement_id"), "left")
-    joined = costed.unionByName(matches.unmatched, allowMissingColumns=True)
+    # Every finished statement has shares, so a left join could only add the rows
+    # without an id; an inner join lets both sides' hot partitions be split.
+    costed = matches.matched.join(shares, F.col("query_id") == F.col("statement_id"), "inner")
+    without_id = matches.matched.filter(F.col("query_id").isNull())
+    joined = costed.unionByName(without_id, allowMissingColumns=True).unionByName(
+        matches.unmatched, allowMissingColumns=True
+    )
     cost = F.col("estimated_cost_usd")
     return joined.select(
         "query_id",

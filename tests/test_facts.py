@@ -70,6 +70,12 @@ def test_usage_fact_repeats_per_period_and_price(spark):
     assert len(rows) == 4 and {r["gb_read"] for r in rows} == {1.0}
 
 
+def test_usage_fact_keeps_statements_without_id(spark):
+    row = one(usage_fact(spark, [{}], [{"statement_id": None}]))
+    assert row["compute_type"] == "WAREHOUSE"
+    assert row["query_id"] is None and row["dbus_consumed"] is None and row["sku_name"] is None
+
+
 def test_usage_fact_zero_rows_and_bytes_have_no_unit_cost(spark):
     row = one(usage_fact(spark, [{}], [{"produced_rows": 0, "written_bytes": 0}]))
     assert row["cost_per_row_produced"] is None and row["cost_per_mb_written"] is None

@@ -174,11 +174,17 @@ def node_matches(spark: SparkSession, sources: Sources, settings: Settings) -> M
 
 
 def usage_costs(
-    spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = unstaged
+    spark: SparkSession,
+    sources: Sources,
+    settings: Settings,
+    stage: Stage = unstaged,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Allocated and priced usage per finished query and usage period.
 
-    The price joins the periods, of which there are far fewer than shares.
+    All queries count in the totals; ``only`` (one ``query_id`` column, no
+    duplicates) restricts the result to those queries.  The price joins the
+    periods, of which there are far fewer than shares.
     """
     history = histories.usage_history(sources.load(spark, "usage_history"), settings)
     queries = query_spans(history)
@@ -188,6 +194,8 @@ def usage_costs(
     priced = price_usage(
         usage_period_totals(periods, queries), sources.load(spark, "list_prices"), settings.as_of
     )
+    if only is not None:
+        queries = queries.join(only, F.col("statement_id") == F.col("query_id"), "left_semi")
     return allocate_usage(queries, periods, priced, stage).select(
         "statement_id",
         "sku_name",
@@ -206,7 +214,8 @@ def fact_usage_split(
     periods has a row for each, so its own metrics repeat.
     """
     matches = usage_matches(spark, sources, settings, stage)
-    shares = usage_costs(spark, sources, settings, stage)
+    tracked = matches.matched.select("query_id").distinct()
+    shares = usage_costs(spark, sources, settings, stage, only=tracked)
     # Every finished statement has shares, so a left join could only add the rows
     # without an id; an inner join lets both sides' hot partitions be split.
     costed = matches.matched.join(shares, F.col("query_id") == F.col("statement_id"), "inner")

@@ -62,32 +62,35 @@ def _snapshot(
 ) -> DataFrame:
     """One full outer join of current versions and source; closed versions pass through.
 
-    Keys that left the source keep their current version open.
+    Keys that left the source keep their current version open.  Rows with a NULL
+    key can match nothing, so they go around the join: it would send all of them
+    to one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     columns = source.columns
-    current = history.filter(F.col(VALID_TO).isNull())
-    closed = history.filter(F.col(VALID_TO).isNotNull())
-
+    has_key = F.lit(True)
     same_key = F.lit(True)
     for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
         same_key = same_key & (F.col(f"_old.{k}") == F.col(f"_new.{k}"))
-    old = current.select(F.struct(*columns, VALID_FROM).alias("_old"))
-    new = source.select(F.struct(*columns).alias("_new"))
-    joined = old.join(new, same_key, "full_outer")
+
+    is_current = F.col(VALID_TO).isNull()
+    old = history.filter(is_current & has_key).select(F.struct(*columns, VALID_FROM).alias("_old"))
+    new = source.select(F.struct(*columns).alias("_new"), has_key.alias("_has_key"))
+    joined = old.join(new.filter("_has_key").drop("_has_key"), same_key, "full_outer")
 
     never = F.lit(None).cast(history.schema[VALID_TO].dataType)
-    is_new = F.col("_new").isNotNull() & (F.col("_old").isNull() | changed)
-    replaced = F.col("_new").isNotNull() & changed
+    has_old, has_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
 
     def version(row: str, start: Column, end: Column) -> Column:
         values = [F.col(f"{row}.{c}").alias(c) for c in columns]
         return F.struct(*values, start.alias(VALID_FROM), end.alias(VALID_TO))
 
-    kept = F.when(
-        F.col("_old").isNotNull(),
-        version("_old", F.col(f"_old.{VALID_FROM}"), F.when(replaced, valid_from).otherwise(never)),
-    )
-    added = F.when(is_new, version("_new", valid_from, never))
+    added_version = version("_new", valid_from, never)
+    end = F.when(has_new & changed, valid_from).otherwise(never)
+    kept = F.when(has_old, version("_old", F.col(f"_old.{VALID_FROM}"), end))
+    added = F.when(has_new & (~has_old | changed), added_version)
     versions = joined.select(F.inline(F.array_compact(F.array(kept, added))))
-    return closed.select(*columns, VALID_FROM, VALID_TO).unionByName(versions)
+    unkeyed = new.filter(~F.col("_has_key")).select(F.inline(F.array(added_version)))
+    passed = history.filter(~is_current | ~has_key).select(*columns, VALID_FROM, VALID_TO)
+    return passed.unionByName(versions).unionByName(unkeyed)

@@ -249,19 +249,23 @@ def fact_usage_split(
     )
 
 
-def fact_credits(spark: SparkSession, sources: Sources, settings: Settings) -> DataFrame:
+def fact_credits(
+    spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = stage_shared
+) -> DataFrame:
     """Credits fact: execution x statement, with the compute credits attributed to it."""
-    pairs = credit_matches(spark, sources, settings).matched
+    pairs = stage(credit_matches(spark, sources, settings).matched)
     attribution = sources.load(spark, "query_attribution").select(
         F.col("query_id").alias("_attributed_id"), "credits_attributed_compute"
     )
-    rate = settings.rates.per_credit
-    joined = pairs.join(
-        attribution,
-        (F.col("_attributed_id") == F.col("query_id"))
-        & (F.col("query_start_time") >= lit_timestamp(settings.monitor_start)),
-        "left",
+    attributed_to = (F.col("_attributed_id") == F.col("query_id")) & (
+        F.col("query_start_time") >= lit_timestamp(settings.monitor_start)
     )
+    # A left join in two parts, so that a statement with very many attribution
+    # rows can be split too.
+    attributed = pairs.join(attribution, attributed_to, "inner")
+    others = pairs.join(attribution.select("_attributed_id").distinct(), attributed_to, "left_anti")
+    joined = attributed.unionByName(others, allowMissingColumns=True)
+    rate = settings.rates.per_credit
     return joined.select(
         "query_id",
         *S.FACT_EXECUTION_COLUMNS,

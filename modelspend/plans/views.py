@@ -51,7 +51,7 @@ def build_views(
         history = reports.model_cost_history_bytes(fact, settings.rates)
         daily = reports.daily_savings_bytes(reports.reuse_counts(executions, job_runs), history)
     else:
-        fact = stage(facts.fact_credits(spark, sources, settings))
+        fact = stage(facts.fact_credits(spark, sources, settings, stage))
         history = reports.model_cost_history_credits(fact)
         daily = reports.daily_savings_credits(reports.reuse_execute_counts(executions, job_runs), history)
 

@@ -156,6 +156,14 @@ def test_credit_fact_without_attribution(spark):
     assert row["credits_attributed_compute"] is None and row["attributed_compute_cost"] is None
 
 
+def test_credit_fact_repeats_per_attribution_row(spark):
+    rows = dicts(credit_fact(spark, queries=[{}, {"query_id": "p"}], attributed=[{}, {}, {"query_id": None}]))
+    assert sorted((r["query_id"], r["credits_attributed_compute"]) for r in rows if r["query_id"] == "q") == [
+        ("q", 2.0)
+    ] * 2
+    assert [r["credits_attributed_compute"] for r in rows if r["query_id"] == "p"] == [None]
+
+
 def test_credit_fact_rate(spark):
     row = one(credit_fact(spark, settings=_settings(rates=Rates(per_credit=2))))
     assert row["cloud_services_cost"] == 2.0

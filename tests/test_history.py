@@ -88,6 +88,18 @@ def test_snapshots_are_idempotent(spark):
     assert rows(snapshot_by_timestamp(once, source(spark), "id", "created_at")) == rows(once)
 
 
+def test_null_keys_match_nothing(spark):
+    old = spark.createDataFrame([(None, "a", day(1), day(1), None)], VERSIONS)
+    new = spark.createDataFrame([(None, "b", day(2)), (None, "b", day(2))], SCHEMA)
+    kept = (None, "a", day(1), day(1), None)
+    assert rows(snapshot_by_timestamp(old, new, "id", "created_at")) == sorted(
+        [kept, *[(None, "b", day(2), day(2), None)] * 2], key=repr
+    )
+    assert rows(snapshot_by_check(old, new, "id", ["name"], day(9))) == sorted(
+        [kept, *[(None, "b", day(2), day(9), None)] * 2], key=repr
+    )
+
+
 def test_first_snapshot(spark):
     got = snapshot_by_timestamp(history(spark).filter("false"), source(spark), "id", "created_at")
     assert got.filter("valid_to IS NULL").count() == 4

@@ -45,7 +45,7 @@ def scans(text, table):
 
 BUILDS = {
     "usage_split": lambda s, src: facts.fact_usage_split(s, src, B.SETTINGS, unstaged),
-    "credits": lambda s, src: facts.fact_credits(s, src, B.SETTINGS),
+    "credits": lambda s, src: facts.fact_credits(s, src, B.SETTINGS, unstaged),
     "bytes": lambda s, src: facts.fact_bytes_slots(s, src, B.SETTINGS),
     "rpu": lambda s, src: facts.fact_rpu(s, src, B.SETTINGS, stage=unstaged),
     "node": lambda s, src: facts.fact_node_time(s, src, B.SETTINGS, stage=unstaged),
@@ -74,7 +74,7 @@ def test_facts_agree_with_and_without_broadcast(spark, stored, threshold):
 
 
 def test_history_filters_reach_the_scan(spark, stored):
-    text = plan(facts.fact_credits(spark, stored, B.SETTINGS))
+    text = plan(facts.credit_matches(spark, stored, B.SETTINGS).matched)
     (scan,) = scans(text, "credit_history")
     assert "GreaterThanOrEqual(start_time,2024-01-01T00:00)" in scan
     assert "EqualTo(database_name,SHOP)" in scan
@@ -98,10 +98,10 @@ def test_staged_fact_reads_the_text_once(spark, stored):
 
 
 def test_metadata_is_parsed_once_per_row(spark, stored):
-    text = plan(facts.fact_credits(spark, stored, B.SETTINGS))
+    text = plan(facts.credit_matches(spark, stored, B.SETTINGS).matched)
     assert len(re.findall(r"from_json", text)) == 1
 
 
 def test_tracking_columns_are_pruned(spark, stored):
-    (scan, *_) = scans(plan(facts.fact_credits(spark, stored, B.SETTINGS)), "executions")
+    (scan, *_) = scans(plan(facts.credit_matches(spark, stored, B.SETTINGS).matched), "executions")
     assert "node_config" not in scan and S.PROJECT_ID not in scan

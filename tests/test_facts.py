@@ -98,7 +98,7 @@ def test_statements_that_do_not_match(spark):
         {"statement_text": "/* not json */ select 1"},
         {"statement_text": None},
         {"statement_text": comment() + f" from {S.EXECUTIONS_TABLE}"},
-        {"statement_text": comment() + " from dbtXmodelXexecutions"},
+        {"statement_text": comment() + " from " + S.EXECUTIONS_TABLE.replace("_", "X")},
         {"start_time": at(23, 0, 1)},
     ]
     row = one(usage_fact(spark, [{"run_started_at": at(0)}], statements))

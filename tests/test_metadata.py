@@ -50,8 +50,9 @@ def test_lenient_mode_reads_prefixed_comments(spark):
 
 
 def test_mentions_is_like(spark):
-    texts = ["a dbt_model_executions b", "dbtXmodelXexecutions", "x\ndbt_model_executions\n", "model_executions",
-             "dbt_model__executions", "DBT_MODEL_EXECUTIONS", "", None, "dbt.model.executions.*"]
+    name = S.EXECUTIONS_TABLE
+    texts = [f"a {name} b", name.replace("_", "X"), f"x\n{name}\n", name[4:], name.replace("_", "__"), name.upper(),
+             "", None, name.replace("_", ".") + ".*"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for table in (S.EXECUTIONS_TABLE, "a%b", "x_", "a.c"):
         pattern = f"%{table}%"

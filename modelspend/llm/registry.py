@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from modelspend.llm.op01_benchmark_wand import op1_benchmark_wand
+from modelspend.llm.op02_disclosive_terms import op2_disclosive_terms
+from modelspend.llm.op03_simhash_bktree import op3_simhash_bktree
 from modelspend.llm.op05_license_templates import op5_license_templates
 from modelspend.llm.op08_quality_outliers import op8_quality_outliers
 from modelspend.llm.op09_reply_trees import op9_reply_trees
@@ -10,6 +13,9 @@ from modelspend.llm.op10_linked_credentials import op10_linked_credentials
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_benchmark_wand,
+        op2_disclosive_terms,
+        op3_simhash_bktree,
         op5_license_templates,
         op8_quality_outliers,
         op9_reply_trees,

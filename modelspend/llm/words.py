@@ -28,7 +28,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(_ODD), -1, 2**64))
     return tuple(
@@ -58,17 +58,29 @@ def word_bounds(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each word's bytes in lower case (A-Z only); the same wherever the word stands."""
-    size = 1 << max(22, int(len(data)).bit_length())
-    powers, inverses = _powers(size)
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """What :func:`span_hashes` needs of ``data``."""
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE_VALUES[LOWER[data]] * powers[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverses[starts]
+    np.cumsum(_BYTE_VALUES[data] * _powers(_size(data))[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def _size(data: np.ndarray) -> int:
+    return 1 << max(22, len(data).bit_length())
+
+
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span; the same wherever these bytes stand."""
+    h = (sums[ends] - sums[starts]) * _powers(_size(sums[1:]))[1][starts]
     return mix(h ^ ((ends - starts).astype(np.uint64) * _ODD))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each word in lower case (A-Z only)."""
+    return span_hashes(prefix_sums(LOWER[data]), starts, ends)
+
+
 def hash_of(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
     return int(word_hashes(data, np.array([0]), np.array([len(data)]))[0])

@@ -14,7 +14,7 @@ The index is made with Spark: document frequencies and lengths over all items.
 sent to the tasks in shards of at most ``SHARD_POSTINGS`` postings, one pass over the texts for
 each, so what is broadcast is bounded whatever the number of items.  Passages
 are first held, many at a time, against the sums of their words' largest
-impacts within each of ``RANGES`` ranges of items, the bound by which the blocks
+impacts within each of at most ``RANGES`` ranges of items, the bound by which the blocks
 of WAND find no pivot; only passages above it in some range open cursors.
 
 Edge cases: null texts and items are empty and match nothing; an item of fewer
@@ -41,7 +41,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 SHINGLE, OVERLAP = 5, 0.8
 BLOCK = 16
-RANGES = 32
+RANGES = 256
 SHARD_POSTINGS = 200_000
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SENTENCE_END = r"[.!?]\s+"
@@ -115,9 +115,10 @@ def build_index(items: list[tuple[int, object, str]], postings: list[tuple[int,
         ]
         packed.append((ids, impacts, blocks))
     largest = np.array([max(w) for _, w, _ in packed], float)
-    ranges = np.zeros((len(terms), RANGES), np.float32)
+    n = min(RANGES, max(1, len(items)))
+    ranges = np.zeros((len(terms), n), np.float32)
     for t, (ids, impacts, _) in enumerate(packed):
-        np.maximum.at(ranges[t], np.array(ids) * RANGES // len(items), np.array(impacts, np.float32))
+        np.maximum.at(ranges[t], np.array(ids) * n // len(items), np.array(impacts, np.float32))
     longest = max([1, *map(len, words)])
     return Index(items, words, question, terms, largest, ranges, packed, longest)
 
@@ -248,7 +249,7 @@ def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, l
     pairs = np.unique(piece * len(index.terms) + term[known])
     of_piece, of_term = np.divmod(pairs, len(index.terms))
     cuts = np.searchsorted(of_piece, np.arange(base[-1] + 1))
-    bound = np.zeros((base[-1], RANGES), np.float32)
+    bound = np.zeros((base[-1], index.ranges.shape[1]), np.float32)
     full = np.flatnonzero(np.diff(cuts))
     if len(full):
         bound[full] = np.add.reduceat(index.ranges[of_term], cuts[full], axis=0)

@@ -15,7 +15,9 @@ sent to the tasks in shards of at most ``SHARD_POSTINGS`` postings, one pass ove
 each, so what is broadcast is bounded whatever the number of items.  Passages
 are first held, many at a time, against the sums of their words' largest
 impacts within each of at most ``RANGES`` ranges of items, the bound by which the blocks
-of WAND find no pivot; only passages above it in some range open cursors.
+of WAND find no pivot.  The words of many items are at first taken as all
+present, so that only rare words are summed; passages that stay above the
+threshold are summed exactly, and only those still above it open cursors.
 
 Edge cases: null texts and items are empty and match nothing; an item of fewer
 than five words is compared as one shingle; repeated rows each give their rows;
@@ -42,6 +44,8 @@ THRESHOLD = 0.5
 SHINGLE, OVERLAP = 5, 0.8
 BLOCK = 16
 RANGES = 256
+#: Words in more than this share of the items count as common.
+COMMON = 0.05
 SHARD_POSTINGS = 200_000
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SENTENCE_END = r"[.!?]\s+"
@@ -79,6 +83,9 @@ class Index:
     largest: np.ndarray
     #: Largest impact of each term in each range of items.
     ranges: np.ndarray
+    #: Which terms are rare, and what all common terms together can add in each range.
+    rare: np.ndarray
+    slack: np.ndarray
     postings: list[tuple[list[int], list[float], list[tuple[int, float]]]]
     step: int
 
@@ -119,8 +126,10 @@ def build_index(items: list[tuple[int, object, str]], postings: list[tuple[int,
     ranges = np.zeros((len(terms), n), np.float32)
     for t, (ids, impacts, _) in enumerate(packed):
         np.maximum.at(ranges[t], np.array(ids) * n // len(items), np.array(impacts, np.float32))
+    rare = np.array([len(ids) <= max(1, COMMON * len(items)) for ids, _, _ in packed], bool)
+    slack = ranges[~rare].sum(axis=0)
     longest = max([1, *map(len, words)])
-    return Index(items, words, question, terms, largest, ranges, packed, longest)
+    return Index(items, words, question, terms, largest, ranges, rare, slack, packed, longest)
 
 
 def block_max_wand(index: Index, query: list[int], threshold: float) -> list[tuple[int, float]]:
@@ -250,14 +259,17 @@ def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, l
     of_piece, of_term = np.divmod(pairs, len(index.terms))
     cuts = np.searchsorted(of_piece, np.arange(base[-1] + 1))
     bound = np.zeros((base[-1], index.ranges.shape[1]), np.float32)
-    full = np.flatnonzero(np.diff(cuts))
+    rare = index.rare[of_term]
+    piece_of_rare, rare_term = of_piece[rare], of_term[rare]
+    rare_cuts = np.searchsorted(piece_of_rare, np.arange(base[-1]))
+    full = np.unique(piece_of_rare)
     if len(full):
-        bound[full] = np.add.reduceat(index.ranges[of_term], cuts[full], axis=0)
+        bound[full] = np.add.reduceat(index.ranges[rare_term], rare_cuts[full], axis=0)
     last = np.zeros(base[-1], bool)
     last[base[1:] - 1] = True
     both = bound.copy()
     both[:-1] += np.where(last[:-1, None], 0, bound[1:])
-    both = both.max(axis=1, initial=0)
+    both = (both + index.slack).max(axis=1, initial=0)
     # a text's last half is in the passage before it, unless it is the only one
     alone = np.zeros(base[-1], bool)
     alone[base[:-1]] = pieces == 1
@@ -265,6 +277,8 @@ def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, l
         d = int(np.searchsorted(base, p, side="right")) - 1
         upto = p + 1 if last[p] else p + 2
         query = np.unique(of_term[cuts[p] : cuts[upto]])
+        if index.ranges[query].sum(axis=0).max(initial=0) < THRESHOLD - 1e-4:
+            continue
         found = block_max_wand(index, query.tolist(), THRESHOLD)
         if found:
             low = first[d] + (p - base[d]) * index.step

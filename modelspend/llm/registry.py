@@ -5,7 +5,9 @@ from __future__ import annotations
 from modelspend.llm.op01_benchmark_wand import op1_benchmark_wand
 from modelspend.llm.op02_disclosive_terms import op2_disclosive_terms
 from modelspend.llm.op03_simhash_bktree import op3_simhash_bktree
+from modelspend.llm.op04_piece_sampling import op4_piece_sampling
 from modelspend.llm.op05_license_templates import op5_license_templates
+from modelspend.llm.op06_text_density import op6_text_density
 from modelspend.llm.op08_quality_outliers import op8_quality_outliers
 from modelspend.llm.op09_reply_trees import op9_reply_trees
 from modelspend.llm.op10_linked_credentials import op10_linked_credentials
@@ -16,7 +18,9 @@ QUERIES = {
         op1_benchmark_wand,
         op2_disclosive_terms,
         op3_simhash_bktree,
+        op4_piece_sampling,
         op5_license_templates,
+        op6_text_density,
         op8_quality_outliers,
         op9_reply_trees,
         op10_linked_credentials,

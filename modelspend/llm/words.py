@@ -81,9 +81,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hashes(prefix_sums(LOWER[data]), starts, ends)
 
 
+def hash_of_bytes(word: bytes) -> int:
+    """The hash of one word; the same as :func:`span_hashes` gives."""
+    h = 0
+    for i, b in enumerate(word):
+        h += int(_BYTE_VALUES[b]) * pow(int(_ODD), i, 1 << 64)
+    h = (h ^ (len(word) * int(_ODD))) & ((1 << 64) - 1)
+    return int(mix(np.array([h], np.uint64))[0])
+
+
 def hash_of(word: str) -> int:
-    data = np.frombuffer(word.encode(), np.uint8)
-    return int(word_hashes(data, np.array([0]), np.array([len(data)]))[0])
+    """The hash of one word in lower case (A-Z only)."""
+    return hash_of_bytes(word.encode().lower())
 
 
 def code_points(data: np.ndarray) -> np.ndarray:

@@ -8,6 +8,7 @@ from modelspend.llm.op03_simhash_bktree import op3_simhash_bktree
 from modelspend.llm.op04_piece_sampling import op4_piece_sampling
 from modelspend.llm.op05_license_templates import op5_license_templates
 from modelspend.llm.op06_text_density import op6_text_density
+from modelspend.llm.op07_kneser_ney import op7_kneser_ney
 from modelspend.llm.op08_quality_outliers import op8_quality_outliers
 from modelspend.llm.op09_reply_trees import op9_reply_trees
 from modelspend.llm.op10_linked_credentials import op10_linked_credentials
@@ -21,8 +22,11 @@ QUERIES = {
         op4_piece_sampling,
         op5_license_templates,
         op6_text_density,
+        op7_kneser_ney,
         op8_quality_outliers,
         op9_reply_trees,
         op10_linked_credentials,
     )
 }
+
+ORACLE_SQL: dict[str, str] = {}

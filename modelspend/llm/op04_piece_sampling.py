@@ -40,10 +40,10 @@ MARKER = "▁"
 SEED = 20
 #: Weights of a place's incoming pieces are whole numbers of about this many bits, so draws are exact.
 BITS = 31
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SLOT_BITS = 18
 #: Edges of lattices that a worker keeps for later blocks; beyond them, new cuts' lattices are built for one block.
-KEPT_EDGES = 5_000_000
+KEPT_EDGES = 1_500_000
 SPACE = 0x20
 #: Bytes of a UTF-8 character by its first byte; 0 for the bytes inside one.
 CHAR_SIZE = np.array([1] * 0x80 + [0] * 0x40 + [2] * 0x20 + [3] * 0x10 + [4] * 0x10, np.int64)

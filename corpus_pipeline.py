@@ -38,14 +38,14 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every found secret replaced; ``n_chars`` follows the text."""
-    keyed = docs.withColumn("doc_key", row_key("doc_id", "text"))
-    found = secrets.scan_secrets(keyed.select(F.col("doc_key").alias("doc_id"), "text")).filter(F.size("spans") > 0)
+    keyed = docs.withColumn("_secret_key", row_key("doc_id", "text"))
+    found = secrets.scan_secrets(keyed.select(F.col("_secret_key").alias("doc_id"), "text")).filter(F.size("spans") > 0)
     # equal texts have equal spans
-    found = stage(found.select(F.col("doc_id").alias("doc_key"), "spans").dropDuplicates(["doc_key"]), "found")
-    joined = keyed.join(found, "doc_key", "left")
+    found = stage(found.select(F.col("doc_id").alias("_secret_key"), F.col("spans").alias("_secret_spans")).dropDuplicates(["_secret_key"]), "found")
+    joined = keyed.join(found, "_secret_key", "left")
     rest = lambda at, to: F.substring(F.col("text"), at + 1, to - at)
     redacted = F.aggregate(
-        "spans",
+        "_secret_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
@@ -55,7 +55,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         ),
         lambda acc: F.concat(acc["out"], rest(acc["at"], F.length("text"))),
     )
-    hit = F.col("spans").isNotNull()
+    hit = F.col("_secret_spans").isNotNull()
     out = joined.withColumn("text", F.when(hit, redacted).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -59,13 +59,12 @@ def item_postings(benchmark: DataFrame) -> DataFrame:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     lowered = F.translate(F.coalesce("text", F.lit("")), upper, upper.lower())
     words = benchmark.select("item", F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("words"))
-    whole = words.agg(F.count("*").alias("items"), F.avg(F.size("words")).alias("mean_length"))
+    whole = words.agg(F.count("*").alias("items"), F.avg(F.size("words")).alias("mean_length")).first()
     terms = words.select("item", F.size("words").alias("length"), F.explode("words").alias("term"))
     terms = terms.groupBy("item", "length", "term").agg(F.count("*").alias("tf"))
-    # one row, so it can go everywhere
-    found = terms.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(whole))
-    idf = F.log(1 + (F.col("items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = K1 * (1 - B + B * F.col("length") / F.col("mean_length"))
+    found = terms.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (F.lit(whole["items"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = K1 * (1 - B + B * F.col("length") / F.lit(whole["mean_length"] or 1.0))
     scored = terms.join(found.withColumn("idf", idf), "term")
     scored = scored.withColumn("impact", F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm))
     own = scored.groupBy("item").agg(F.sum("impact").alias("own"))
@@ -308,10 +307,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` with no leak; rows of a null doc_id are told by their text."""
-    keyed = docs.withColumn("doc_key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")), "text"))
-    leaks = contaminated(keyed.select(F.col("doc_key").alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
-    leaks = stage(leaks, "leaks").withColumnRenamed("doc_id", "doc_key")
-    return keyed.join(leaks, "doc_key", "left_anti").drop("doc_key")
+    keyed = docs.withColumn("_leak_key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")), "text"))
+    leaks = contaminated(keyed.select(F.col("_leak_key").alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
+    leaks = stage(leaks, "leaks").withColumnRenamed("doc_id", "_leak_key")
+    return keyed.join(leaks, "_leak_key", "left_anti").drop("_leak_key")
 
 
 def op1_benchmark_wand(spark: SparkSession, sf_dir: str) -> DataFrame:

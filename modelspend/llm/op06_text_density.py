@@ -55,6 +55,8 @@ NOT_ARTICLE = frozenset(
     "notification alert popup modal overlay newsletter subscribe signup login comment comments disqus reply replies "
     "respond related recommended share sharing social widget toolbar pagination pager".split()
 )
+#: Elements that show nothing, so they don't end a block.
+SILENT = frozenset("script style template noscript".split())
 #: An open element that ends where one of the others begins.
 ENDS = {
     "li": frozenset(("li",)),
@@ -112,7 +114,7 @@ class Page:
 
         def close(depth: int) -> None:
             while len(stack) > depth:
-                if self.tag[stack.pop()] not in INLINE:
+                if self.tag[stack.pop()] not in INLINE | SILENT:
                     self.texts.append((stack[-1] if stack else 0, None))
 
         at = 0
@@ -141,12 +143,13 @@ class Page:
                 elif tag == "head":
                     stack.append(self.open("head", 0, True))
                 continue
-            if tag not in INLINE:
+            block = tag not in INLINE and tag not in SILENT
+            if block:
                 self.end_implied(stack, tag, close)
             dropped = self.dropped[stack[-1]] or is_dropped(tag, attributes)
             if tag == "br":
                 say(" ")
-            elif tag not in INLINE:
+            elif block:
                 self.texts.append((stack[-1], None))
             node = self.open(tag, stack[-1], dropped)
             if tag in VOID or attributes.endswith("/") and tag not in RAW and tag not in INLINE and tag != "p":

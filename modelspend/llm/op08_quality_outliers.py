@@ -257,10 +257,10 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules and the method keep."""
-    bad = judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("bad_id"), F.col("row_key").alias("bad_key"))
+    bad = judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col("row_key").alias("_bad_key"))
     bad = stage(bad.distinct(), "quality-bad")
-    match = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("own_key") == F.col("bad_key"))
-    return docs.withColumn("own_key", row_key("text", "lang", "source")).join(bad, match, "left_anti").drop("own_key")
+    match = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.col("_quality_key") == F.col("_bad_key"))
+    return docs.withColumn("_quality_key", row_key("text", "lang", "source")).join(bad, match, "left_anti").drop("_quality_key")
 
 
 def op8_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,380 @@
+"""Each query against brute force over documents with odd rows, and over empty tables."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+import xxhash
+
+import corpus_pipeline
+from modelspend.llm import op01_benchmark_wand as O1
+from modelspend.llm import op02_disclosive_terms as O2
+from modelspend.llm import op03_simhash_bktree as O3
+from modelspend.llm import op04_piece_sampling as O4
+from modelspend.llm import op05_license_templates as O5
+from modelspend.llm import op06_text_density as O6
+from modelspend.llm import op07_kneser_ney as O7
+from modelspend.llm import op08_quality_outliers as O8
+from modelspend.llm import op09_reply_trees as O9
+from modelspend.llm import op10_linked_credentials as O10
+from modelspend.llm.registry import QUERIES
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lower(text):
+    return text.encode().lower().decode()
+
+
+def digest(spans, kinds):
+    return hashlib.sha256(",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(spans)).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", [*QUERIES, "pipeline"])
+def test_empty_tables(spark, nothing, name):
+    query = corpus_pipeline.run if name == "pipeline" else QUERIES[name]
+    rows = query(spark, nothing).collect()
+    assert [r.conv_id for r in rows] == ([-7] if name.startswith("op9") else [])
+
+
+def test_leaks(spark, corpus, docs):
+    items = pd.read_parquet(f"{corpus}/benchmark.parquet")
+    shingles = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for i, w in ((i, ALNUM.findall(lower(t))) for i, t in zip(items.item_id, items.text, strict=True))}
+    expected = []
+    for doc, text in docs:
+        words = ALNUM.findall(lower(text))
+        have = {tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))}
+        expected += [(doc, i) for i, own in shingles.items() if len(own & have) >= 0.8 * len(own)]
+    got = O1.op1_benchmark_wand(spark, corpus).collect()
+    assert len(expected) > 0 and set(expected) <= {(r.doc_id, r.item_id) for r in got}
+    assert all(r.overlap >= 0.8 or r.question_overlap >= 0.8 for r in got)
+
+
+def test_wand_finds_what_a_scan_finds():
+    rng = np.random.default_rng(1)
+    items = [(i, i, " ".join(f"w{w}" for w in rng.zipf(1.5, 12) % 60)) for i in range(150)]
+    postings = [(i, w, float(rng.random())) for i, _, text in items for w in set(text.split())]
+    index = O1.build_index(items, postings)
+    for _ in range(50):
+        query = rng.choice(len(index.terms), 15, replace=False).tolist()
+        scores = Counter()
+        for t in query:
+            for item, weight in zip(*index.postings[t][:2], strict=True):
+                scores[item] += weight
+        assert {i for i, _ in O1.block_max_wand(index, query, 1.5)} == {i for i, s in scores.items() if s >= 1.5}
+
+
+def test_private(spark, corpus, docs):
+    got = {}
+    for r in O2.op2_disclosive_terms(spark, corpus).collect():
+        got.setdefault(r.doc_id, r)
+    for doc, text in docs:
+        found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+        for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+            found += [(m.start(), 1, m.end())] * all(int(p) <= 255 for p in m[0].split("."))
+        for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+            d = [int(c) for c in re.sub(r"\D", "", m[0])][::-1]
+            valid = 14 <= len(d) <= 19 and (sum(d[::2]) + sum(sum(divmod(2 * c, 10)) for c in d[1::2])) % 10 == 0
+            found += [(m.start(), 2, m.end())] * valid
+        for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+            found += [(m.start(), 3, m.end())] * (10 <= len(re.sub(r"\D", "", m[0])) <= 15)
+        r = got[doc]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == i for _, k, _ in found) for i in range(4))
+        assert r.base_sha256 == digest(found, O2.KINDS)
+
+
+def test_terms_that_disclose(spark):
+    rows = [(i, f"clerk zaphod writes from boss@corp.org about budget item") for i in range(8)]
+    rows += [(100 + i, "clerk writes about budget item and more") for i in range(40)]
+    rows += [(i, f"the other name is trillian see x{i}@corp.org") for i in range(200, 203)]
+    found = {r.doc_id: r.spans for r in O2.scan_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    words = [rows[0][1][s.start : s.end] for s in found[0] if s.kind >= O2.BASE]
+    assert set(words) == {"zaphod", "from"}
+    assert all(s.kind < O2.BASE for i in (100, 200) for s in found[i])
+    assert "zaphod" not in O2.sanitise(rows[0][1], [(s.start, s.kind, s.end) for s in found[0]])
+
+
+def simhash(text):
+    words = WORDS.findall(lower(text))
+    parts = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(prints):
+    """Smallest id of each id's component, over all pairs."""
+    root = {i: i for i in prints}
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    ids = sorted(prints)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_copies(spark, corpus, docs):
+    prints = {doc: simhash(text) for doc, text in docs}
+    rooted = groups(prints)
+    rows = O3.op3_simhash_bktree(spark, corpus).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert (r.fingerprint, r.component_id) == (format(prints[r.doc_id], "016x"), rooted[r.doc_id])
+
+
+def test_split_shards_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(O3, "TREE", 8)
+    rng = np.random.default_rng(3)
+    values = {int(c) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 4))) for c in rng.integers(0, 2**63, 5) for _ in range(60)}
+    values = {v - (1 << 64) if v >> 63 else v for v in values}
+    prints = {v: v & (1 << 64) - 1 for v in values}
+    links = O3.links(spark.createDataFrame([(v,) for v in values], "print long"))
+    got = {r.node: r.root for r in O3.components(links).collect()}
+    rooted = groups(prints)
+    assert {v: got.get(v, v) for v in values} == rooted
+
+
+def test_pieces(spark, corpus, docs):
+    by_id = dict(docs)
+    rows = O4.op4_piece_sampling(spark, corpus).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert r.lossless and r.n_pieces == len(r.pieces)
+        if len(by_id[r.doc_id]) < 5000:
+            assert O4.decode(r.pieces) == by_id[r.doc_id]
+
+
+def test_pieces_do_not_depend_on_neighbours(spark, corpus):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    one = {r.doc_id: r.pieces_sha256 for r in O4.encode_documents(docs).collect()}
+    some = {r.doc_id: r.pieces_sha256 for r in O4.encode_documents(docs.filter("doc_id % 7 = 3").repartition(3)).collect()}
+    assert some and all(one[i] == sha for i, sha in some.items())
+
+
+def test_pieces_are_drawn_by_weight():
+    vocab = O4.vocabulary(O4.MODEL)
+    n = 20_000
+    data = np.frombuffer(b"then" * n, np.uint8)
+    ids, limits = O4.encode_texts(data, np.arange(n + 1) * 4, O4.mix(np.arange(n, dtype=np.uint64)), vocab)
+    names = {vocab.bytes[vocab.start[i] : vocab.start[i] + vocab.size[i]].tobytes(): i for i in range(259, len(vocab.size))}
+    paths = {(): 0.0}
+    for text in (b" then",):
+        todo, done = [((), 0, 0.0)], {}
+        while todo:
+            path, at, weight = todo.pop()
+            if at == len(text):
+                done[path] = math.exp(weight)
+            for to in range(at + 1, len(text) + 1):
+                if text[at:to] in names:
+                    i = names[text[at:to]]
+                    todo.append(((*path, i), to, weight + vocab.weight[i]))
+        paths = done
+    seen = Counter(tuple(ids[a:b].tolist()) for a, b in zip(limits[:-1], limits[1:], strict=True))
+    total = sum(paths.values())
+    assert set(seen) <= set(paths)
+    for path, weight in paths.items():
+        p = weight / total
+        assert abs(seen[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
+
+
+def test_licenses(spark, corpus, docs):
+    by_id = dict(docs)
+    for r in O5.op5_license_templates(spark, corpus).collect():
+        words = ALNUM.findall(lower(by_id[r.doc_id]))
+        places, labels = [], set()
+        for phrase, label in O5.PHRASES:
+            p = phrase.split()
+            found = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+            places += found
+            labels |= {label} if found else set()
+        assert (r.n_words, r.n_base, r.base_labels) == (len(words), len(places), ",".join(sorted(labels)))
+        assert (r.first_word, r.last_word) == ((min(places), max(places)) if places else (None, None))
+        assert labels <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+
+
+def test_template_regions():
+    labels = lambda text: O5.match_templates(text.split())[0]
+    assert labels("copyright c 2020 some body all rights reserved") == {"reserved-notice"}
+    assert labels("copyright 1 2 3 4 5 6 7 8 9 all rights reserved") == set()
+    assert labels("licensed under the apache license as version 2 0") == {"apache-2.0-notice"}
+    assert labels("licensed under the apache license in version 2 0") == set()
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (None, ""),
+        ("", ""),
+        ("<p>One &lt;b&gt;<p>two\n  three<br>four", "One <b>\ntwo three four"),
+        ("<body><nav>menu</nav><article><h1>T</h1><p>a <b>b</article><footer>f</footer>", "T\na b"),
+        ("<div class='cookie-notice'>no</div><div><p>Long enough text<p>and more</div><div id=comments><p>spam", "Long enough text\nand more"),
+        ("<article><p>x<script>var p='</p>'</script> y</p><form><p>q</p></form></article>", "x y"),
+    ],
+)
+def test_article(page, text):
+    assert O6.extract(page) == text
+
+
+def test_pages(spark, corpus):
+    pages = pd.read_parquet(f"{corpus}/pages.parquet").set_index("page_id")
+    rows = O6.op6_text_density(spark, corpus).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        html = pages.html[r.page_id]
+        body = html[html.index("<article>") : html.index("</article>")]
+        blocks = re.split(r"</?(?:p|h1|article)>", body)
+        clean = [" ".join(O6.html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in blocks]
+        assert r.text == "\n".join(b for b in clean if b) and r.n_chars == len(r.text)
+
+
+def test_language_model(spark, corpus, docs):
+    tokens = [(i, [w for w in lower(t).encode().split()] + [None]) for i, t in docs]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    seen, pairs, texts = Counter(), Counter(), 0
+    for i, words in tokens:
+        if not held(i):
+            texts += 1
+            seen.update(words)
+            pairs.update(zip(["<s>", *words[:-1]], words, strict=True))
+    n, v = sum(seen.values()), len(seen)
+    level = Counter(pairs.values())
+    before = Counter(w for _, w in pairs)
+    lower_level = Counter(before.values())
+    d, low = (O7.discounts([0, *[x[k] for k in range(1, 5)]]) for x in (level, lower_level))
+    after = defaultdict(lambda: [0, 0, 0])
+    for (h, _), c in pairs.items():
+        after[h][min(c, 3) - 1] += 1
+    cut = lambda c, by: max(c - by[min(c, 3) - 1], 0) if c else 0
+    spread = sum(low[min(c, 3) - 1] for c in before.values()) / len(pairs)
+    one = lambda w: cut(before[w], low) / len(pairs) + spread / (v + 1)
+
+    def p(h, w):
+        whole = texts if h == "<s>" else seen[h]
+        if not whole:
+            return one(w)
+        return cut(pairs[h, w], d) / whole + float(np.dot(d, after[h])) / whole * one(w)
+
+    rows = {r.doc_id: r for r in O7.op7_kneser_ney(spark, corpus).collect()}
+    for i, words in tokens:
+        r = rows[i]
+        assert (r.held_out, r.n_tokens, r.n_known) == (held(i), len(words), sum(w in seen for w in words))
+        assert r.train_tokens == n
+        assert math.isclose(r.base_score, sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in words), rel_tol=1e-9)
+        assert math.isclose(r.score, sum(math.log10(p(h, w)) for h, w in zip(["<s>", *words[:-1]], words, strict=True)), rel_tol=1e-9)
+    assert math.isclose(sum(p(b"the", w) for w in [*seen, "unknown"]), 1)
+
+
+def test_quality_counts(spark, corpus, docs):
+    by_id = dict(docs)
+    rows = O8.op8_quality_outliers(spark, corpus).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        text = by_id[r.doc_id]
+        words = WORDS.findall(text)
+        windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+        often = Counter(windows)
+        repeated = {j for i, w in enumerate(windows) if often[w] > 1 for j in range(i, i + 8)}
+        lines = [x for x in text.split("\n") if WORDS.search(x)]
+        expected = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == expected
+        assert r.base_failed == (len(words) < 20 or 100 * len(repeated) > 30 * len(words))
+        assert not (r.base_failed and r.kept)
+
+
+def test_quality_is_native(spark, corpus):
+    plan = O8.text_statistics(spark.read.parquet(f"{corpus}/documents.parquet"))
+    assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().toString())
+
+
+def test_chi_square():
+    assert math.isclose(O8.chi2_quantile(0.75, 5), 6.62568, rel_tol=1e-4)
+
+
+def test_conversations(spark, corpus):
+    table = pd.read_parquet(f"{corpus}/conversations.parquet")
+    probe = pd.DataFrame({"conv_id": -7, "turn": [0, 1], "role": ["user", "assistant"], "text": "</s>[INST] ok [/INST]"})
+    rows = {r.conv_id: r for r in O9.op9_reply_trees(spark, corpus).collect()}
+    for conv, turns in pd.concat([table, probe]).sort_values("turn").groupby("conv_id"):
+        said = "".join(f"{r}\n{t}\n" for r, t in zip(turns.role, turns.text, strict=True))
+        loss = "".join(turns.text[turns.role == "assistant"])
+        r = rows[conv]
+        assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256(said.encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert len(rows) == table.conv_id.nunique() + 1
+
+
+def test_branches_and_cycles(spark):
+    rows = [("t", 1, None, 0.0), ("t", 2, 1, 1.0), ("t", 3, 1, 2.0), ("t", 4, 2, 9.0), ("t", 5, 4, None), ("t", 6, 99, 1.0), ("u", 1, 2, 1.0), ("u", 2, 1, 1.0)]
+    messages = spark.createDataFrame(
+        [(*r, "user", f"<|end|>\\ {r[1]}") for r in rows], "tree string, id long, parent long, score double, role string, text string"
+    )
+    paths = O9.chosen_paths(messages, None).collect()
+    ranked = {(r.leaf, r["rank"]) for r in paths}
+    assert ranked == {(5, 1), (3, 2), (6, 3)}
+    assert {r.id for r in paths if r.leaf == 5} == {1, 2, 4, 5}
+    best = O9.format_paths(messages).select(O9.read_back(O9.F.col("formatted")).alias("turns")).collect()
+    assert [[t.text for t in r.turns] for r in best] == [[f"<|end|>\\ {i}" for i in (1, 2, 4, 5)]]
+
+
+def test_odd_conversations(spark):
+    rows = [(None, None, None, None), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", None), (1, None, "system", "\\[INST]")]
+    messages = O9.messages_from_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    turns = {r.tree: [(t.role, t.text) for t in r.turns] for r in O9.format_paths(messages).select("tree", O9.read_back(O9.F.col("formatted")).alias("turns")).collect()}
+    assert turns == {"null": [("", "")], "=1": [("system", "\\[INST]"), ("user", "a"), ("user", "a"), ("assistant", "")]}
+
+
+def test_secrets(spark, corpus, docs):
+    by_id = dict(docs)
+    rows = O10.op10_linked_credentials(spark, corpus).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        text = by_id[r.doc_id]
+        found = [(m.start(), 0, m.end()) for m in re.finditer(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.I | re.A) if len(m[2]) >= 8]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in found) for i in range(3))
+        assert r.base_sha256 == digest(found, O10.KINDS)
+    linked = next(r.spans for r in rows if by_id[r.doc_id].startswith("user: deploy_bot"))
+    assert [s.split(":")[0] for s in linked.split(",")] == ["linked_access", "linked_secret", "linked_endpoint"]
+
+
+def test_parts_out_of_scope_are_not_linked(spark):
+    gap = "word " * 100
+    texts = [f"user: deploy_bot {gap} key aB3dE6gH9jK2mN5pQ8sT1vW4", "user: deploy_bot key aB3dE6gH9jK2mN5pQ8sT1vW4", "https://a.example.org user: me"]
+    rows = O10.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: len(r.spans) for r in rows} == {0: 0, 1: 2, 2: 0}
+
+
+def test_pipeline(spark, corpus, docs):
+    by_id = dict(docs)
+    table = spark.read.parquet(f"{corpus}/documents.parquet")
+    rows, kept = table, {}
+    for name, step in corpus_pipeline.STAGES:
+        rows = corpus_pipeline.stage(step(spark, rows, corpus), "test")
+        kept[name] = [r.doc_id for r in rows.select("doc_id").collect()]
+        if name != "pieces":
+            assert rows.columns == table.columns
+        if name == "secrets":
+            texts = {r.doc_id: r.text for r in rows.select("doc_id", "text").collect()}
+            changed = {i for i, t in texts.items() if (t or "") != by_id[i]}
+            assert all(corpus_pipeline.REPLACEMENT in texts[i] for i in changed)
+            assert all(not O10.strong_parts(t or "") for t in texts.values())
+    judged = {r.doc_id: r.kept for r in O8.judge(table).select("doc_id", "kept").collect()}
+    assert sorted(kept["quality rules"]) == sorted(i for i, _ in docs if judged[i])
+    rooted = groups({i: simhash(by_id[i]) for i in set(kept["quality rules"])})
+    assert set(kept["near-duplicates"]) == {i for i, root in rooted.items() if i == root}
+    leaked = {r.doc_id for r in O1.op1_benchmark_wand(spark, corpus).select("doc_id").collect()}
+    assert kept["benchmark leaks"] and set(kept["benchmark leaks"]) == set(kept["near-duplicates"]) - leaked
+    assert sorted(kept["pieces"]) == sorted(kept["secrets"]) == sorted(kept["benchmark leaks"])

@@ -54,7 +54,13 @@ def ms_between(start: Column, end: Column) -> Column:
 
 def second_boundaries_between(start: Column, end: Column) -> Column:
     """Number of whole-second marks crossed, ignoring fractions on both ends."""
-    return F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))
+    return naive_seconds(end) - naive_seconds(start)
+
+
+def naive_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 on a naive clock; no time zone of the session has a part in it."""
+    days = F.datediff(ts, F.lit(date(1970, 1, 1))).cast("long")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def overlap_seconds(start_a: Column, end_a: Column, start_b: Column, end_b: Column) -> Column:

@@ -50,9 +50,15 @@ def variant_text(variant: Column, key: str) -> Column:
 def guarded_comment_json(
     text: Column, pattern: str = SPACED_OBJECT_COMMENT_PATTERN, mode: str = "reference"
 ) -> Column:
-    """The comment's JSON text if it parses, else NULL."""
+    """The comment's JSON text if it is one whole JSON value, else NULL.
+
+    The parser ignores what follows a value, so the text is parsed as the first of
+    two elements: anything after it breaks the array or moves its end mark.
+    """
     raw = comment_json(text, pattern, mode)
-    return F.when(F.try_parse_json(raw).isNotNull(), raw)
+    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"end"]')))
+    alone = (F.try_variant_get(pair, "$[1]", "string") == "end") & F.try_variant_get(pair, "$[2]", "string").isNull()
+    return F.when(alone, raw)
 
 
 def json_text(json: Column, key: str) -> Column:

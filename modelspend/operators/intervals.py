@@ -9,7 +9,11 @@ Cells come in levels, each 32 times wider than the one below.  A range lives on
 the lowest level where it touches at most 33 cells, so an hour and a century
 both expand to a handful of rows, and no range ever has to be cut or dropped.
 Two ranges meet on the higher of their two levels, in the first cell they share:
-each pair is found exactly once, with no ``distinct``.
+each pair is found exactly once, with no ``distinct``.  A role is part of the
+join key: a small-side row stands for itself on its own level and as a visitor above it;
+a large-side row meets the former everywhere and visitors on its own level only.
+So rows that are both above their own level never become candidates, and one
+long range costs its own pairs, not all rows of its cell.
 
 The larger side is expanded only on the levels the smaller side occupies, which a
 scalar subquery over the smaller side finds out, so for ranges of similar length
@@ -62,7 +66,9 @@ class Span:
 
 
 def _seconds(ts: str) -> str:
-    return f"unix_seconds(cast({ts} AS timestamp))"
+    """Seconds since 1970 on a naive clock, whatever the session's time zone."""
+    days = f"cast(datediff({ts}, date'1970-01-01') AS bigint)"
+    return f"({days} * 86400 + hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}))"
 
 
 def levels_in_use(df: DataFrame, span: Span, width: int) -> Column:
@@ -70,11 +76,12 @@ def levels_in_use(df: DataFrame, span: Span, width: int) -> Column:
     return df.select(F.expr(span.level(width)).alias("level")).agg(F.collect_set("level")).scalar()
 
 
-def in_cells(df: DataFrame, span: Span, peer_levels: Column, width: int, p: str) -> DataFrame:
+def in_cells(df: DataFrame, span: Span, peer_levels: Column, width: int, p: str, small: bool) -> DataFrame:
     """One row per cell a range touches, on each level where a peer may meet it.
 
-    Adds, with prefix ``p``, the ``level`` and ``cell``, ``own`` (is this the range's
-    own level) and ``first`` (is this its first cell on the level).
+    Adds, with prefix ``p``, the ``level`` and ``cell``, ``role`` (0 with a small-side
+    row on its own level, 1 with one above it) and ``first`` (is this the range's
+    first cell on the level).
     """
     spread = df.select(
         "*",
@@ -86,17 +93,20 @@ def in_cells(df: DataFrame, span: Span, peer_levels: Column, width: int, p: str)
     levels = f"array_distinct(transform({p}peers, l -> greatest(l, {p}level0)))"
     first = f"floor({p}low / ({width}D * power({FANOUT}D, l)))"
     last = f"floor({p}high / ({width}D * power({FANOUT}D, l)))"
-    if span.is_point:
-        places = f"transform({levels}, l -> named_struct('level', l, 'cell', {first}, 'own', l = 0, 'first', true))"
+    if small:
+        roles = f"array(if(l = {p}level0, 0, 1))"
     else:
-        place = f"named_struct('level', l, 'cell', c, 'own', l = {p}level0, 'first', c = {first})"
-        places = f"flatten(transform({levels}, l -> transform(sequence({first}, {last}), c -> {place})))"
+        # visitors come only from levels of the small side below this one
+        roles = f"if(l = {p}level0 AND exists({p}peers, q -> q < {p}level0), array(0, 1), array(0))"
+    place = f"named_struct('level', l, 'cell', c, 'role', r, 'first', c = {first})"
+    cells = f"array({first})" if span.is_point else f"sequence({first}, {last})"
+    places = f"flatten(transform({levels}, l -> flatten(transform({roles}, r -> transform({cells}, c -> {place})))))"
     names = [f"{p}{name}" for name in CELL]
     cells = spread.select("*", F.expr(f"inline({places})").alias(*names))
     return cells.drop(f"{p}low", f"{p}high", f"{p}level0", f"{p}peers")
 
 
-CELL = ("level", "cell", "own", "first")
+CELL = ("level", "cell", "role", "first")
 
 
 def interval_join(
@@ -122,12 +132,14 @@ def interval_join(
     if small_levels is None:
         small_levels = levels_in_use(small, small_span, width)
     top = 0 if large_span.is_point else TOP_LEVEL
-    small_cells = in_cells(small, small_span, F.expr(f"sequence(0, {top})"), width, "_s_")
-    large_cells = in_cells(large, large_span, small_levels, width, "_l_")
-    same_place = (F.col("_s_level") == F.col("_l_level")) & (F.col("_s_cell") == F.col("_l_cell"))
+    small_cells = in_cells(small, small_span, F.expr(f"sequence(0, {top})"), width, "_s_", small=True)
+    large_cells = in_cells(large, large_span, small_levels, width, "_l_", small=False)
+    same_place = F.lit(True)
+    for name in ("level", "role", "cell"):
+        same_place = same_place & (F.col(f"_s_{name}") == F.col(f"_l_{name}"))
     for s, l in on:
         same_place = (F.col(s) == F.col(l)) & same_place
-    once = (F.col("_s_own") | F.col("_l_own")) & (F.col("_s_first") | F.col("_l_first"))
+    once = F.col("_s_first") | F.col("_l_first")
     joined = small_cells.join(large_cells, same_place & once & condition, "inner")
     return joined.drop(*[f"{p}{name}" for p in ("_s_", "_l_") for name in CELL])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelspend import schemas as S
-from modelspend.functions.metadata import comment_json
+from modelspend.functions.metadata import comment_json, guarded_comment_json
 from modelspend.operators.intervals import HOUR, Span, interval_join, without_match
 from modelspend.sources.staging import unstaged
 
@@ -86,14 +86,16 @@ def match_executions(
 
 
 def with_metadata(
-    history: DataFrame, text: str, keys: dict[str, str], pattern: str, mode: str
+    history: DataFrame, text: str, keys: dict[str, str], pattern: str, mode: str, guarded: bool = False
 ) -> DataFrame:
     """Add the comment metadata a join by ``keys`` needs, as ``_meta_<key>`` columns.
 
     The struct is generated as a row of its own: filters that Catalyst derives
-    from the join then test its columns instead of parsing the text again.
+    from the join then test its columns instead of parsing the text again.  With
+    ``guarded``, a comment that is not one whole JSON value has no metadata.
     """
     wanted = list(dict.fromkeys([*keys.values(), "node_id"]))
     fields = T.StructType([S.QUERY_METADATA[key] for key in wanted])
-    parsed = F.from_json(comment_json(F.col(text), pattern, mode), fields)
+    read = guarded_comment_json if guarded else comment_json
+    parsed = F.from_json(read(F.col(text), pattern, mode), fields)
     return history.select("*", F.inline(F.array(parsed)).alias(*[f"{META}{key}" for key in wanted]))

@@ -43,7 +43,6 @@ from modelspend.operators.matching import (
 )
 from modelspend.plans import histories
 from modelspend.plans.tracking import eligible_executions, tracking_union
-from modelspend.sources.staging import stage as stage_shared
 from modelspend.sources.staging import unstaged
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -140,7 +139,7 @@ def rpu_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Ma
     """Executions and serverless statements, by job alone; the run's time range keeps them apart."""
     history = histories.rpu_history(sources.load(spark, "rpu_history"), settings)
     tagged = with_metadata(
-        history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode
+        history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode, guarded=True
     )
     statements = _statements(
         tagged,
@@ -158,7 +157,7 @@ def node_matches(spark: SparkSession, sources: Sources, settings: Settings) -> M
     """Executions and statements of a provisioned cluster, by job alone."""
     history = histories.node_history(sources.load(spark, "node_history"), settings)
     tagged = with_metadata(
-        history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode
+        history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode, guarded=True
     )
     statements = _statements(
         tagged,
@@ -206,7 +205,7 @@ def usage_costs(
 
 
 def fact_usage_split(
-    spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = stage_shared
+    spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = unstaged
 ) -> DataFrame:
     """Usage-split fact: execution x statement x usage period x SKU x price.
 
@@ -249,22 +248,17 @@ def fact_usage_split(
     )
 
 
-def fact_credits(
-    spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = stage_shared
-) -> DataFrame:
+def fact_credits(spark: SparkSession, sources: Sources, settings: Settings) -> DataFrame:
     """Credits fact: execution x statement, with the compute credits attributed to it."""
-    pairs = stage(credit_matches(spark, sources, settings).matched)
+    pairs = credit_matches(spark, sources, settings).matched
     attribution = sources.load(spark, "query_attribution").select(
         F.col("query_id").alias("_attributed_id"), "credits_attributed_compute"
     )
     attributed_to = (F.col("_attributed_id") == F.col("query_id")) & (
         F.col("query_start_time") >= lit_timestamp(settings.monitor_start)
     )
-    # A left join in two parts, so that a statement with very many attribution
-    # rows can be split too.
-    attributed = pairs.join(attribution, attributed_to, "inner")
-    others = pairs.join(attribution.select("_attributed_id").distinct(), attributed_to, "left_anti")
-    joined = attributed.unionByName(others, allowMissingColumns=True)
+    # a hot statement is on the left, where adaptive execution can split it
+    joined = pairs.join(attribution, attributed_to, "left")
     rate = settings.rates.per_credit
     return joined.select(
         "query_id",
@@ -303,10 +297,12 @@ def fact_bytes_slots(spark: SparkSession, sources: Sources, settings: Settings)
 def _most_expensive_first(fact: DataFrame, then_by: str, stage: Stage) -> DataFrame:
     """Globally ordered fact.
 
-    A global sort runs its input twice, to sample the ranges and to sort, so the
-    fact is stored first and the histories are read once.
+    A global sort runs its input twice, to sample the ranges and to sort; a
+    ``stage`` that stores the fact first lets the histories be read once.  The ids
+    order statements of equal cost, so no range of the sort holds all of them.
     """
-    return stage(fact).orderBy(F.desc("estimated_cost_usd"), F.desc(then_by))
+    ties = ("query_id", *S.FACT_EXECUTION_COLUMNS)
+    return stage(fact).orderBy(F.desc("estimated_cost_usd"), F.desc(then_by), *ties)
 
 
 def fact_rpu(
@@ -314,7 +310,7 @@ def fact_rpu(
     sources: Sources,
     settings: Settings,
     ordered: bool = True,
-    stage: Stage = stage_shared,
+    stage: Stage = unstaged,
 ) -> DataFrame:
     """Serverless fact: statements that ran inside a usage window, most expensive first.
 
@@ -342,7 +338,7 @@ def fact_node_time(
     sources: Sources,
     settings: Settings,
     ordered: bool = True,
-    stage: Stage = stage_shared,
+    stage: Stage = unstaged,
 ) -> DataFrame:
     """Provisioned fact: statement time at the whole cluster's price, most expensive first."""
     rates = settings.rates

@@ -18,6 +18,7 @@ from modelspend.operators import history as H
 from modelspend.operators import quality as Q
 from modelspend.plans import facts, histories, ingest, reports, tracking
 from modelspend.sources import fixtures as X
+from modelspend.sources.staging import CHECKPOINT_DIR, WAREHOUSE_DIR, Stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def stages(spark: SparkSession) -> Stages:
+    """Stages in the session's shared folder, or in its warehouse where none is named, as in tests."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(WAREHOUSE_DIR)
+    return Stages(spark, folder)
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round sums whose last bits depend on the order of addition."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -169,7 +176,7 @@ def node_config(spark, sf_dir):
 @query
 def execution_query_join_left(spark, sf_dir):
     sources = X.sources(spark, sf_dir, "executions", "usage_history")
-    return facts.usage_matches(spark, sources, SETTINGS, facts.stage_shared).left_join()
+    return facts.usage_matches(spark, sources, SETTINGS, stages(spark)).left_join()
 
 
 @query
@@ -222,13 +229,13 @@ def usage_period_totals(spark, sf_dir):
 @query
 def usage_allocation(spark, sf_dir):
     _, queries, periods = _usage(spark, sf_dir)
-    return A.allocate_usage(queries, periods, stage=facts.stage_shared)
+    return A.allocate_usage(queries, periods, stage=stages(spark))
 
 
 @query
 def usage_priced(spark, sf_dir):
     sources, _, _ = _usage(spark, sf_dir)
-    return facts.usage_costs(spark, sources, SETTINGS, facts.stage_shared)
+    return facts.usage_costs(spark, sources, SETTINGS, stages(spark))
 
 
 @query
@@ -253,7 +260,7 @@ JOB_TABLES = ("executions", "jobs")
 
 @query
 def fact_usage_split(spark, sf_dir):
-    return facts.fact_usage_split(spark, X.sources(spark, sf_dir, *USAGE_TABLES), SETTINGS)
+    return facts.fact_usage_split(spark, X.sources(spark, sf_dir, *USAGE_TABLES), SETTINGS, stages(spark))
 
 
 @query
@@ -269,12 +276,12 @@ def fact_bytes_slots(spark, sf_dir):
 @query
 def fact_rpu(spark, sf_dir):
     sources = X.sources(spark, sf_dir, "executions", "rpu_history", "serverless_usage")
-    return facts.fact_rpu(spark, sources, SETTINGS)
+    return facts.fact_rpu(spark, sources, SETTINGS, stage=stages(spark))
 
 
 @query
 def fact_node_time(spark, sf_dir):
-    return facts.fact_node_time(spark, X.sources(spark, sf_dir, "executions", "node_history"), SETTINGS)
+    return facts.fact_node_time(spark, X.sources(spark, sf_dir, "executions", "node_history"), SETTINGS, stage=stages(spark))
 
 
 # ---------------------------------------------------------------------- reports
@@ -291,7 +298,7 @@ BYTES_SAVINGS = ["estimated_slot_minutes_saved"]
 
 
 def _usage_history(spark, sources):
-    return reports.model_cost_history_usage(facts.fact_usage_split(spark, sources, SETTINGS))
+    return reports.model_cost_history_usage(facts.fact_usage_split(spark, sources, SETTINGS, stages(spark)))
 
 
 def _credit_daily(spark, sf_dir):

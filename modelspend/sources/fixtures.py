@@ -48,19 +48,13 @@ class Inputs:
 
     @cached_property
     def events(self) -> DataFrame:
-        return _events(spread(self.table("events"), "event_id"))
+        return _events(self.table("events"))
 
     @cached_property
     def region(self) -> DataFrame:
         return self.table("region")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table of fewer files than cores, such as the single-file test tables."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
-
-
 def _events(raw: DataFrame) -> DataFrame:
     """Events with the values the other tables share."""
     return (

@@ -1,42 +1,44 @@
 """Storing an intermediate result that several parts of a plan read.
 
-The result is written once, as Parquet in the shared folder the cluster names in
-``spark.checkpoint.dir``, so it survives lost executors and readers load only
-the columns they use.
+Nothing is stored unless a caller passes a :class:`Stages` where a function takes
+``stage``.  A result is written once, as Parquet in a folder that all executors
+share, so it survives lost executors and readers load only the columns they use.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's shared folder; a temporary one only for local sessions without it."""
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if folder is None and context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="modelspend-"))
-        folder = context.getCheckpointDir()
-    return folder
+class Stages:
+    """Stores results below ``folder``; :meth:`clear` deletes what it stored."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = f"{folder.rstrip('/')}/stages-{uuid.uuid4().hex}"
 
-def stage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` now and return it as a stored table.
+    def __call__(self, df: DataFrame) -> DataFrame:
+        """Compute ``df`` now and return it as a stored table."""
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    On a cluster without a shared folder ``df`` itself is returned, and each
-    reader recomputes it.
-    """
-    folder = shared_folder(df.sparkSession)
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def shared_stages(spark: SparkSession) -> Stages:
+    """Stages in the folder that ``spark.checkpoint.dir`` names; an error without one."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        raise ValueError(f"staging needs {CHECKPOINT_DIR}, a folder that all executors share")
+    return Stages(spark, folder)
 
 
 def unstaged(df: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ def load_table(spark: SparkSession, ref: TableRef, schema: T.StructType) -> Data
     if isinstance(ref, DataFrame):
         df = ref
     elif is_path(ref):
-        df = spark.read.parquet(ref)
+        # streams append in folders of their own
+        df = spark.read.option("recursiveFileLookup", "true").parquet(ref)
     else:
         df = spark.table(ref)
     return require_columns(df, schema)
@@ -74,8 +75,15 @@ def create_tracking_tables(
 
 
 def append(df: DataFrame, ref: str) -> None:
-    """Append rows to a tracking table or folder, matching columns by name."""
+    """Append rows to a tracking table or folder, matching columns by name.
+
+    A folder to which a stream writes directly is refused: readers of such a folder see the
+    stream's files only.
+    """
     if is_path(ref):
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{ref.rstrip('/')}/_spark_metadata")
+        if path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(path):
+            raise ValueError(f"{ref} is a stream's own folder; append to another one")
         df.write.mode("append").parquet(ref)
     else:
         columns = df.sparkSession.table(ref).columns

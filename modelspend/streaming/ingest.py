@@ -1,12 +1,15 @@
 """Recording runs as they finish: the batch ingest over a stream of arriving result files.
 
 Each micro-batch is projected exactly as in :mod:`modelspend.plans.ingest` and
-appended to the tracking folder; the checkpoint makes the append exactly-once.
+written to a folder of its own below the tracking folder, named by the stream's
+checkpoint and the batch.  A batch that is run again overwrites that folder, so
+every file is recorded once, and rows appended by batch jobs stay readable beside it.
 Nothing is aggregated, so the stream keeps no state.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +29,14 @@ def _append_stream(
     checkpoint: str,
 ) -> StreamingQuery:
     rows = project(spark.readStream.schema(schema).json(arriving))
+    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/stream-{name}-{number}")
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", table)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -7,10 +7,10 @@ from builders import at, comment, dicts, one
 from modelspend import schemas as S
 from modelspend.config import Rates
 from modelspend.plans import facts
-from modelspend.sources.staging import unstaged
+from modelspend.sources.staging import shared_stages, unstaged
 
 
-def usage_fact(spark, executions, queries, periods=({},), prices=({},), stage=facts.stage_shared, **settings):
+def usage_fact(spark, executions, queries, periods=({},), prices=({},), stage=unstaged, **settings):
     sources = B.sources(
         executions=B.executions(spark, *executions),
         usage_history=B.usage_history(spark, *queries),
@@ -45,8 +45,9 @@ def test_usage_fact_columns(spark):
     ]
 
 
-@pytest.mark.parametrize("stage", [facts.stage_shared, unstaged])
-def test_usage_fact_keeps_executions_without_statement(spark, stage):
+@pytest.mark.parametrize("staged", [True, False])
+def test_usage_fact_keeps_executions_without_statement(spark, staged):
+    stage = shared_stages(spark) if staged else unstaged
     silent = {"model_name": "quiet", "relation_name": None}
     rows = dicts(usage_fact(spark, [{}, silent, silent], [{}], stage=stage))
     assert sorted((r["model_name"], r["query_id"], r["dbus_consumed"]) for r in rows if r["query_id"]) == [

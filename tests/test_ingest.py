@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime, timezone
 
 import pytest
@@ -10,11 +11,11 @@ from modelspend import schemas as S
 from modelspend.config import Sources
 from modelspend.functions.tracking_json import node_config_json
 from modelspend.plans.ingest import ingest_executions, ingest_job_runs
-from modelspend.sources.staging import stage, unstaged
+from modelspend.sources.staging import shared_stages, unstaged
 from modelspend.sources.tables import append, create_tracking_tables, load_table, publish, require_columns
 from modelspend.streaming.ingest import record_executions, record_job_runs
 
-NASTY = "test' quote: #$%^&*()_+-=[]{};:,.<>?`. \", \\', \\, \\\\ and \n"
+NASTY = "it's \"fine\" C:\\dir\\ end */ tab\t bell\x07 café 漢\nnext line"
 NOW = datetime(2024, 5, 6, 7, 8, 9)
 
 
@@ -186,10 +187,13 @@ def test_publish_names_a_view(spark):
 
 
 def test_stage_stores_in_the_shared_folder(spark):
-    staged = stage(B.executions(spark, {}, {}))
+    stages = shared_stages(spark)
+    staged = stages(B.executions(spark, {}, {}))
     assert staged.schema == S.EXECUTIONS and staged.count() == 2
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in staged.inputFiles())
     assert unstaged(staged) is staged
+    stages.clear()
+    assert not os.path.exists(stages.folder.removeprefix("file:"))
 
 
 def test_streams_record_each_file_once(spark, tmp_path):
@@ -203,6 +207,21 @@ def test_streams_record_each_file_once(spark, tmp_path):
         record_job_runs(spark, envs, tables[1], str(tmp_path / "c2")).awaitTermination()
         assert Sources(executions=tables[0]).load(spark, "executions").count() == expected
         assert Sources(job_runs=tables[1]).load(spark, "job_runs").count() == expected / 2
-    row = one(spark.read.parquet(tables[0]).drop("insert_timestamp").distinct())
+    row = one(Sources(executions=tables[0]).load(spark, "executions").drop("insert_timestamp").distinct())
     assert row["run_started_at"] == datetime(2024, 1, 2, 3, 4, 5, 678999)
     assert row[S.RUN_ID] == "run" and json.loads(row["node_config"])["tags"] == ["nightly"]
+
+
+def test_streams_and_batches_share_a_folder(spark, tmp_path):
+    table, _ = create_tracking_tables(spark, str(tmp_path / "tracking"))
+    arriving = str(tmp_path / "results")
+    count = lambda: Sources(executions=table).load(spark, "executions").count()
+    rows = ingest_executions(results(spark, {}))
+    append(rows, table)
+    arrived = results(spark, {}, {}).coalesce(1).write.mode("append")
+    arrived.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(arriving)
+    for _ in range(2):
+        record_executions(spark, arriving, table, str(tmp_path / "c")).awaitTermination()
+    assert count() == 3
+    append(rows, table)
+    assert count() == 4

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modelspend.functions import expressions as E
 from modelspend.operators.intervals import Span, in_cells, interval_join, without_match
 
 BASE = datetime(2024, 1, 1)
@@ -128,7 +129,7 @@ def test_long_ranges_stay_a_handful_of_cells(spark):
     rows = [("a", i, BASE, BASE + timedelta(days=d)) for i, d in enumerate((0, 1, 30, 365, 36500, 2900000))]
     df = spark.createDataFrame(rows, SCHEMA)
     levels = F.array(*[F.lit(i) for i in range(8)])
-    cells = in_cells(df, Span("s", "e"), levels, 60, "_").groupBy("id", "_level").count()
+    cells = in_cells(df, Span("s", "e"), levels, 60, "_", small=True).groupBy("id", "_level").count()
     assert cells.agg(F.max("count")).first()[0] <= 34
 
 
@@ -138,3 +139,45 @@ def test_without_match_keeps_copies_and_nulls(spark):
     matched = spark.createDataFrame([("x", None)], schema)
     rest = without_match(left, matched, decided_by=["a"], nullable=["b"])
     assert Counter(map(tuple, rest.collect())) == Counter({("y", None): 2, (None, "z"): 1})
+
+
+def test_one_long_range_adds_its_own_candidates_only(spark):
+    hours = [("a", i, BASE + timedelta(hours=i), BASE + timedelta(hours=i + 1)) for i in range(200)]
+    long = [("a", 999, BASE, BASE + timedelta(days=60))]
+    queries = spark.createDataFrame(
+        [("a", i, BASE + timedelta(minutes=7 * i), BASE + timedelta(minutes=7 * i + 3)) for i in range(1500)], SCHEMA
+    )
+
+    def candidates(rows):
+        small = spark.createDataFrame(rows, SCHEMA)
+        s = in_cells(small, Span("s", "e"), F.expr("sequence(0, 6)"), 3600, "_s_", small=True)
+        peers = F.array(*[F.lit(i) for i in ((0, 2) if len(rows) > 200 else (0,))])
+        l = in_cells(queries, Span("s", "e"), peers, 3600, "_l_", small=False)
+        s, l = s.select("_s_level", "_s_role", "_s_cell"), l.select("_l_level", "_l_role", "_l_cell")
+        same = [F.col(f"_s_{c}") == F.col(f"_l_{c}") for c in ("level", "role", "cell")]
+        return s.join(l, same).count()
+
+    assert candidates(hours + long) <= candidates(hours) + 2 * 1500
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_clock_changes_of_the_session_have_no_part(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = lambda h, m: f"timestamp_ntz'2024-03-10 0{h}:{m}:00'"
+        small = spark.sql(f"select 1 as id, {at(2, 30)} as ls, {at(3, 10)} as le")
+        large = spark.sql(f"select {at(2, 50)} as rs, {at(2, 51)} as re")
+        joined = interval_join(
+            small,
+            large,
+            small_span=Span("ls", "le"),
+            large_span=Span("rs", "re"),
+            condition=F.expr("rs >= ls and re <= le"),
+            width=60,
+        )
+        assert joined.count() == 1
+        crossed = E.second_boundaries_between(F.expr(at(1, 59)), F.expr(at(3, "01")))
+        assert spark.range(1).select(crossed).first()[0] == 3720
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -111,3 +111,9 @@ def test_written_comments_are_read_back(spark):
         row = tagged.select(M.extract_query_metadata(F.col("query_text"), pattern).alias("m")).first().m
         assert (row.node_id, row.node_name, row[S.JOB_ID], row[S.RUN_ID]) == ("model.p.m", "m", "j", "r")
     assert tagged.first().query_text.endswith(" */ select 1")
+
+
+def test_guard_wants_one_whole_value(spark):
+    bad = ['{"a": 1} junk}', '{"a": 1}{}', '{"a": 1},{}', '{"a": 1}] x}', '{"a": tru}']
+    texts = spark.createDataFrame([(f"/* {t} */ select 1",) for t in [*bad, '{"a": 1}']], "t string")
+    assert texts.filter(M.guarded_comment_json(F.col("t")).isNotNull()).count() == 1

@@ -9,7 +9,7 @@ from modelspend import schemas as S
 from modelspend.config import Sources
 from modelspend.operators import allocation as A
 from modelspend.plans import facts, histories
-from modelspend.sources.staging import unstaged
+from modelspend.sources.staging import shared_stages, unstaged
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,7 @@ def scans(text, table):
 
 BUILDS = {
     "usage_split": lambda s, src: facts.fact_usage_split(s, src, B.SETTINGS, unstaged),
-    "credits": lambda s, src: facts.fact_credits(s, src, B.SETTINGS, unstaged),
+    "credits": lambda s, src: facts.fact_credits(s, src, B.SETTINGS),
     "bytes": lambda s, src: facts.fact_bytes_slots(s, src, B.SETTINGS),
     "rpu": lambda s, src: facts.fact_rpu(s, src, B.SETTINGS, stage=unstaged),
     "node": lambda s, src: facts.fact_node_time(s, src, B.SETTINGS, stage=unstaged),
@@ -93,7 +93,7 @@ def test_allocation_never_reads_the_text(spark, stored):
 def test_staged_fact_reads_the_text_once(spark, stored):
     lazy = plan(facts.usage_matches(spark, stored, B.SETTINGS).left_join())
     assert sum("statement_text" in s for s in scans(lazy, "usage_history")) == 2
-    staged = plan(facts.usage_matches(spark, stored, B.SETTINGS, facts.stage_shared).left_join())
+    staged = plan(facts.usage_matches(spark, stored, B.SETTINGS, shared_stages(spark)).left_join())
     assert not scans(staged, "usage_history")
 
 

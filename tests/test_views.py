@@ -4,7 +4,7 @@ import builders as B
 from builders import one
 from modelspend import schemas as S
 from modelspend.plans import views as V
-from modelspend.sources.staging import stage
+from modelspend.sources.staging import shared_stages
 
 
 def all_sources(spark):
@@ -39,7 +39,7 @@ def test_views_per_pricing(spark):
 
 
 def test_published_views_can_be_queried(spark):
-    V.publish_views(spark, all_sources(spark), B.SETTINGS, V.CREDITS, stage)
+    V.publish_views(spark, all_sources(spark), B.SETTINGS, V.CREDITS, shared_stages(spark))
     row = one(spark.sql(f"SELECT * FROM {S.SUMMARY_VIEW}"))
     assert (row["total_reused_models"], row["total_executed_models"], row["perc_reused_models"]) == (1, 1, 50.0)
     # Both executions match the statement: one run of 2 x (2 + 1) credits at 3 USD.

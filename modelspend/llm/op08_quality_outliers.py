@@ -74,11 +74,14 @@ def consistency() -> float:
 # ------------------------------------------------------------------- statistics
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """The input's rows and the counts of their texts; ``text`` itself is dropped."""
+def text_statistics(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The counts of each row's text, and the columns ``carry`` as the struct ``doc``; else ``text`` is dropped."""
     text = F.coalesce("text", F.lit(""))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc")] if carry else []
+    doc = ["doc"] if carry else []
     docs = docs.select(
         "doc_id",
+        *carried,
         *[F.coalesce(c, F.lit("\x00")).alias(c) for c in ("lang", "source")],
         row_key("text", "lang", "source").alias("row_key"),
         text.alias("text"),
@@ -92,6 +95,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     ).otherwise(F.array().cast("array<bigint>"))
     docs = docs.select(
         "doc_id",
+        *doc,
         "lang",
         "source",
         "row_key",
@@ -186,15 +190,20 @@ def first_estimate(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return both.agg(*columns)
 
 
-def distances(rows: DataFrame, estimate: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` with ``d2``, their squared Mahalanobis distance by their group's estimate.
+def by_source(estimate: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each source's estimate as a stored table, whose known size lets Spark send it to the rows where it is small."""
+    return stage(groups.join(estimate, "grp").drop("grp", "whole"), "quality-mcd")
 
-    The estimates go to each of the salts of a source, so a source with many rows is read by as many tasks.
+
+def distances(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with ``d2``, their squared Mahalanobis distance by their source's estimate.
+
+    Where there are too many sources to send their estimates to all tasks, these go to each
+    of the salts of a source, so a source with many rows is read by as many tasks.
     """
-    by_source = groups.join(estimate, "grp").drop("grp", "whole")
-    by_source = by_source.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted_estimates = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(by_source, ["lang", "source", "salt"], how).drop("salt")
+    joined = salted.join(salted_estimates, ["lang", "source", "salt"], how).drop("salt")
     for i in range(len(DIMS)):
         y = F.col(f"z{i}") / SCALE - F.col(f"m{i}")
         for j in range(i):
@@ -205,12 +214,12 @@ def distances(rows: DataFrame, estimate: DataFrame, groups: DataFrame, how: str
     return joined.drop(*[c for c in joined.columns if c not in rows.columns and c != "d2"])
 
 
-def concentrate(rows: DataFrame, estimate: DataFrame, groups: DataFrame) -> DataFrame:
+def concentrate(rows: DataFrame, estimates: DataFrame, groups: DataFrame) -> DataFrame:
     """One concentration step: the mean and scatter of the H nearest, decomposed as L D L'."""
     cell = F.floor(64 * F.log2(1 + F.col("d2"))).alias("cell")
     sums = [F.sum(f"z{i}").alias(f"s{i}") for i in range(len(DIMS))]
     sums += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}") for i, j in PAIRS]
-    cells = distances(rows, estimate, groups).groupBy("lang", "source", cell).agg(F.count("*").alias("n"), *sums)
+    cells = distances(rows, estimates).groupBy("lang", "source", cell).agg(F.count("*").alias("n"), *sums)
     names = ["n", *[f"s{i}" for i in range(len(DIMS))], *[f"p{i}_{j}" for i, j in PAIRS]]
     cells = cells.join(groups, ["lang", "source"]).groupBy("grp", "whole", "cell")
     cells = cells.agg(*[F.sum(c).alias(c) for c in names])
@@ -240,27 +249,29 @@ def concentrate(rows: DataFrame, estimate: DataFrame, groups: DataFrame) -> Data
     return out.drop(*[f"p{i}_{j}" for i, j in PAIRS])
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, the counts, base_failed, d2, kept) for each row of ``docs``."""
-    stats = stage(vectors(text_statistics(docs).withColumn("base_failed", failed_rules())), "quality")
+def judge(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, row_key, the counts, base_failed, d2, kept) for each row of ``docs``; ``doc`` holds the columns ``carry``."""
+    stats = stage(vectors(text_statistics(docs, carry).withColumn("base_failed", failed_rules())), "quality")
     rows = stats.filter(~F.col("base_failed"))
+    if carry:
+        rows = rows.drop("doc")
     groups = stage(share_groups(rows), "quality-groups")
-    estimate = stage(first_estimate(rows, groups), "quality-first")
+    estimates = by_source(first_estimate(rows, groups), groups)
     for _ in range(STEPS):
-        estimate = stage(concentrate(rows, estimate, groups), "quality-mcd")
-    judged = distances(stats, estimate, groups, "left")
+        estimates = by_source(concentrate(rows, estimates, groups), groups)
+    judged = distances(stats, estimates, "left")
     near = F.coalesce(F.col("d2") <= chi2_quantile(CUTOFF, len(DIMS)), F.lit(True))
     return judged.withColumn("kept", ~F.col("base_failed") & near).select(
-        "doc_id", "row_key", *COUNTS, "base_failed", "d2", "kept"
+        "doc_id", *["doc"] * bool(carry), "row_key", *COUNTS, "base_failed", "d2", "kept"
     )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules and the method keep."""
-    bad = judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col("row_key").alias("_bad_key"))
-    bad = stage(bad.distinct(), "quality-bad")
-    match = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.col("_quality_key") == F.col("_bad_key"))
-    return docs.withColumn("_quality_key", row_key("text", "lang", "source")).join(bad, match, "left_anti").drop("_quality_key")
+    """The rows of ``docs`` that the rules and the method keep.
+
+    Whole rows are stored beside their statistics, so texts are not shuffled to meet their verdicts.
+    """
+    return judge(docs, tuple(docs.columns)).filter("kept").select("doc.*")
 
 
 def op8_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:

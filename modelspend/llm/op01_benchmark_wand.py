@@ -1,17 +1,19 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, queried with block-max WAND.
 
 Every training text is cut into overlapping passages, and each passage is a
-query: all items whose BM25 score is at least ``THRESHOLD`` of the score that
-the item's own words would get are retrieved.  A retrieved item counts as a
-leak only when the text really has its wording: ``OVERLAP`` of the five-word
-shingles of its question (all but its last sentence) or of the whole item.  The
+query.  The index has an entry for each whole item and one for each question
+(all but the last sentence) of five words or more.  An entry is retrieved when
+its BM25 score reaches its own floor: the least score of a passage that holds
+``OVERLAP`` of the entry's five-word shingles.  A retrieved item counts as a
+leak only when the text really has that share of the shingles of its question
+or of the whole item, so retrieval misses nothing that is accepted.  The
 overlap of the answer (the last sentence) is reported beside it.
 
 Passages are twice as long as the longest item and start at every item length,
 so an item that stands in a text lies wholly in one of them.
 
 The index is made with Spark: document frequencies and lengths over all items.  It is
-sent to the tasks in shards of at most ``SHARD_POSTINGS`` postings, one pass over the texts for
+sent to the tasks in shards of about ``SHARD_POSTINGS`` postings of items, one pass over the texts for
 each, so what is broadcast is bounded whatever the number of items.  Passages
 are first held, many at a time, against the sums of their words' largest
 impacts within each of at most ``RANGES`` ranges of items, the bound by which the blocks
@@ -26,8 +28,9 @@ empty tables give no rows; other columns are ignored; whole texts are read.
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -37,10 +40,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelspend.llm.shared import joined_bytes, read_table, stage, text_blocks
-from modelspend.llm.words import ALNUM, LOWER, hash_of, prefix_sums, span_hashes, word_bounds
+from modelspend.llm.words import ALNUM, LOWER, hash_of_bytes, prefix_sums, span_hashes, word_bounds
 
 K1, B = 1.2, 0.75
-THRESHOLD = 0.5
 SHINGLE, OVERLAP = 5, 0.8
 BLOCK = 16
 RANGES = 256
@@ -73,11 +75,18 @@ def item_postings(benchmark: DataFrame) -> DataFrame:
 
 @dataclass
 class Index:
-    """A shard: sorted term hashes with their largest impacts, and postings in blocks of items."""
+    """A shard: sorted term hashes with their largest impacts, and postings in blocks of entries.
+
+    Impacts are shares of the entry's floor, so that every entry's threshold is 1.
+    """
 
     items: list[tuple]
     words: list[list[bytes]]
     question: list[int]
+    #: Impact of each word of an item, as a share of the item's whole score.
+    weights: list[dict[bytes, float]]
+    #: The item of each entry.
+    entries: list[int]
     terms: np.ndarray
     largest: np.ndarray
     #: Largest impact of each term in each range of items.
@@ -102,15 +111,56 @@ def text_words(text: str) -> list[bytes]:
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
+def floor_of(words: list[bytes], weights: dict[bytes, float]) -> float:
+    """The least score of a passage that has ``OVERLAP`` of the shingles of ``words``, or a little less.
+
+    A word is lost only with all the shingles that hold it.  ``best[r][k]`` is the
+    largest score lost with k shingles gone, the last r (at most ``SHINGLE``) of
+    them in a row; a word that occurs n times loses an n-th with each place.
+    """
+    often = Counter(words)
+    at = [weights.get(w, 0.0) / often[w] for w in words]
+    whole = sum(weights.get(w, 0.0) for w in often)
+    places = Counter(tuple(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1)))
+    # distinct shingles may be missing, each with all its places
+    missing = len(places) - math.ceil(OVERLAP * len(places) - 1e-9)
+    gone = sum(sorted(places.values())[::-1][:missing])
+    if not gone or len(words) < SHINGLE:
+        return whole
+    n = len(words) - SHINGLE + 1
+    best = np.full((SHINGLE + 1, gone + 1), -np.inf)
+    best[0, 0] = 0.0
+    for i in range(n):
+        after = np.full_like(best, -np.inf)
+        after[0] = best.max(axis=0)
+        for r in range(1, SHINGLE + 1):
+            before = best[r - 1] if r < SHINGLE else np.maximum(best[r - 1], best[r])
+            after[r, 1:] = before[:-1] + (at[i] if r > min(i, SHINGLE - 1) else 0.0)
+        best = after
+    # the last words stand in fewer shingles
+    ends = [sum(at[p] for p in range(n, len(words)) if r >= n - max(0, p - SHINGLE + 1)) for r in range(SHINGLE + 1)]
+    lost = (best + np.array(ends)[:, None]).max()
+    return max(whole - lost, min(sum(weights.get(w, 0.0) for w in set(s)) for s in places))
+
+
 def build_index(items: list[tuple[int, object, str]], postings: list[tuple[int, str, float]]) -> Index:
     """From (item, item_id, text) and (item, term, impact)."""
     items = sorted(items)
     place = {item: i for i, (item, _, _) in enumerate(items)}
     words = [text_words(text or "") for _, _, text in items]
     question = [len(text_words(split_question(text or "")[0])) for _, _, text in items]
-    lists: dict[int, list[tuple[int, float]]] = defaultdict(list)
+    weights: list[dict[bytes, float]] = [{} for _ in items]
     for item, term, impact in postings:
-        lists[hash_of(term)].append((place[item], impact))
+        weights[place[item]][term.encode()] = impact
+    parts = [(i, words[i]) for i in range(len(items)) if words[i]]
+    parts += [(i, words[i][:q]) for i, q in enumerate(question) if SHINGLE <= q < len(words[i])]
+    parts.sort(key=lambda part: part[0])
+    entries = [i for i, _ in parts]
+    lists: dict[int, list[tuple[int, float]]] = defaultdict(list)
+    for entry, (i, part) in enumerate(parts):
+        floor = floor_of(part, weights[i])
+        for word in sorted(set(part) & weights[i].keys()):
+            lists[hash_of_bytes(word)].append((entry, weights[i][word] / floor))
     terms = np.array(sorted(lists), np.uint64)
     packed = []
     for term in terms.tolist():
@@ -121,18 +171,18 @@ def build_index(items: list[tuple[int, object, str]], postings: list[tuple[int,
         ]
         packed.append((ids, impacts, blocks))
     largest = np.array([max(w) for _, w, _ in packed], float)
-    n = min(RANGES, max(1, len(items)))
+    n = min(RANGES, max(1, len(entries)))
     ranges = np.zeros((len(terms), n), np.float32)
     for t, (ids, impacts, _) in enumerate(packed):
-        np.maximum.at(ranges[t], np.array(ids) * n // len(items), np.array(impacts, np.float32))
-    rare = np.array([len(ids) <= max(1, COMMON * len(items)) for ids, _, _ in packed], bool)
+        np.maximum.at(ranges[t], np.array(ids) * n // len(entries), np.array(impacts, np.float32))
+    rare = np.array([len(ids) <= max(1, COMMON * len(entries)) for ids, _, _ in packed], bool)
     slack = ranges[~rare].sum(axis=0)
     longest = max([1, *map(len, words)])
-    return Index(items, words, question, terms, largest, ranges, rare, slack, packed, longest)
+    return Index(items, words, question, weights, entries, terms, largest, ranges, rare, slack, packed, longest)
 
 
 def block_max_wand(index: Index, query: list[int], threshold: float) -> list[tuple[int, float]]:
-    """All (item, score) with a score of at least ``threshold`` for the terms ``query``.
+    """All (entry, score) with a score of at least ``threshold`` for the terms ``query``.
 
     Cursors stand in order of their items.  The pivot is the first cursor at
     which the sum of the largest impacts so far reaches the threshold: no item before it
@@ -157,7 +207,7 @@ def block_max_wand(index: Index, query: list[int], threshold: float) -> list[tup
         item = cursors[pivot][0]
         while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
             pivot += 1
-        bound, until = 0.0, len(index.items)
+        bound, until = 0.0, len(index.entries)
         for c in cursors[: pivot + 1]:
             blocks, b = index.postings[c[3]][2], c[2]
             while b < len(blocks) and blocks[b][0] < item:
@@ -222,10 +272,12 @@ def find_leaks(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for block in text_blocks(batches):
             best: dict[tuple[int, int], tuple[float, float, float, float]] = {}
             for doc, passage, found in passages_found(index, block):
-                for item, score in found:
+                have = set(passage)
+                for item in sorted({index.entries[entry] for entry, _ in found}):
                     whole, question, answer = leaks_of(index, passage, item)
                     long_question = index.question[item] >= SHINGLE
                     if whole >= OVERLAP or (long_question and question >= OVERLAP):
+                        score = sum(w for word, w in index.weights[item].items() if word in have)
                         best[doc, item] = max(best.get((doc, item), (0.0,) * 4), (score, whole, question, answer))
             docs = pa.array([d for d, _ in best], pa.int64())
             scores = [pa.array([v[i] for v in best.values()], pa.float64()) for i in range(4)]
@@ -239,7 +291,7 @@ def find_leaks(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], list[tuple[int, float]]]]:
-    """(text's place in the block, passage, items retrieved) for the passages that retrieve any."""
+    """(text's place in the block, passage, entries retrieved) for the passages that retrieve any."""
     data, bounds = joined_bytes(block.column("text"))
     if not len(data) or not len(index.terms):
         return
@@ -272,13 +324,13 @@ def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, l
     # a text's last half is in the passage before it, unless it is the only one
     alone = np.zeros(base[-1], bool)
     alone[base[:-1]] = pieces == 1
-    for p in np.flatnonzero((both >= THRESHOLD - 1e-4) & (alone | ~last)).tolist():
+    for p in np.flatnonzero((both >= 1 - 1e-4) & (alone | ~last)).tolist():
         d = int(np.searchsorted(base, p, side="right")) - 1
         upto = p + 1 if last[p] else p + 2
         query = np.unique(of_term[cuts[p] : cuts[upto]])
-        if index.ranges[query].sum(axis=0).max(initial=0) < THRESHOLD - 1e-4:
+        if index.ranges[query].sum(axis=0).max(initial=0) < 1 - 1e-4:
             continue
-        found = block_max_wand(index, query.tolist(), THRESHOLD)
+        found = block_max_wand(index, query.tolist(), 1.0)
         if found:
             low = first[d] + (p - base[d]) * index.step
             words = slice(int(low), int(min(low + 2 * index.step, first[d + 1])))

@@ -70,6 +70,31 @@ def test_wand_finds_what_a_scan_finds():
         assert {i for i, _ in O1.block_max_wand(index, query, 1.5)} == {i for i, s in scores.items() if s >= 1.5}
 
 
+def test_question_of_a_long_answer_is_retrieved(spark):
+    """A document that holds only the question, whose words carry little of the item's score."""
+    question = "which of the many words here is the one"
+    answers = [" ".join(f"rare{i}x{j}" for j in range(40)) for i in range(9)]
+    items = [(i, f"{question if i < 2 else f'what else is there to say about thing{i}'}. {a}") for i, a in enumerate(answers)]
+    docs = [(1, f"so {question} or not"), (2, "which of the many"), (3, f"well {answers[5]} indeed")]
+    found = O1.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r for r in found.collect()}
+    assert set(got) == {(1, 0), (1, 1), (3, 5)}
+    assert all(got[1, i].question_overlap == 1 and got[1, i].score < 0.5 for i in (0, 1))
+
+
+def test_floors_miss_no_accepted_passage():
+    rng = np.random.default_rng(5)
+    for n in (3, 5, 6, 9, 11, 14, 16):
+        words = [b"w%d" % w for w in rng.integers(0, 12, n)]
+        weights = {w: float(rng.random()) for w in words}
+        own = sorted(O1.shingles(words))
+        floor = O1.floor_of(words, weights)
+        for keep in range(1, 1 << len(own)):
+            have = [s for k, s in enumerate(own) if keep >> k & 1]
+            if len(have) >= 0.8 * len(own):
+                assert sum(weights[w] for w in {w for s in have for w in s}) >= floor - 1e-9 > 0
+
+
 def test_private(spark, corpus, docs):
     got = {}
     for r in O2.op2_disclosive_terms(spark, corpus).collect():

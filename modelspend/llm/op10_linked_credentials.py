@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from modelspend.llm import spans as SP
 from modelspend.llm.shared import joined_bytes, read_table, stage, text_blocks
+from modelspend.llm.words import word_bounds
 
 REACH = 300
 KINDS = ("assign", "access", "hex", "linked_access", "linked_secret", "linked_endpoint")
@@ -38,17 +39,22 @@ BASE = 3
 #: Role of each strong kind, then of each weak kind.
 ROLE_OF = (SECRET, ACCESS, SECRET, ACCESS, SECRET, ENDPOINT)
 
+#: Words of the patterns below; the prefilter looks for the same.
+ASSIGN_WORDS = r"password|passwd|secret|token|api_?key"
+ACCOUNT_WORDS = r"user(?:name|_id)?|login|account|client_?id|access_?key_?id"
+PASSWORD_WORDS = r"pwd|pass|pw|passphrase|credential|auth"
+
 ASSIGN = re.compile(
-    r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A
+    rf"({ASSIGN_WORDS})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A
 )
 ACCESS_ID = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 ACCOUNT = re.compile(
-    r"\b(?:user(?:name|_id)?|login|account|client_?id|access_?key_?id)\b[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@+-]{3,})",
+    rf"\b(?:{ACCOUNT_WORDS})\b[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@+-]{{3,}})",
     re.I | re.A,
 )
 PASSWORD = re.compile(
-    r"\b(?:pwd|pass|pw|passphrase|credential|auth)\b[\"']?\x20*[:=]\x20*[\"']?([^\s\"']{6,})", re.I | re.A
+    rf"\b(?:{PASSWORD_WORDS})\b[\"']?\x20*[:=]\x20*[\"']?([^\s\"']{{6,}})", re.I | re.A
 )
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 URL = re.compile(r"\b(?:https?|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|ftp)://[^\s\"'<>]{4,}", re.I | re.A)
@@ -59,8 +65,7 @@ RUN = 20
 TOKEN_BYTES = np.zeros(256, bool)
 TOKEN_BYTES[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = True
 #: In lower case; a text with none of these and no long run has no part.
-HINTS = (b"passw", b"secret", b"token", b"api", b"akia", b"://", b"user", b"login", b"account", b"client", b"pwd", b"pass", b"pw", b"credential", b"auth")
-HINT = re.compile(b"|".join(re.escape(h) for h in HINTS if h not in (b"pass", b"pw", b"auth")) + rb"|\b(?:pass|pw|auth)\b")
+HINT = re.compile(rf"(?:{ASSIGN_WORDS}|{ACCOUNT_WORDS}|{PASSWORD_WORDS})[\"']?\x20*[:=]|akia|://".encode())
 
 
 def entropy(token: str) -> float:
@@ -107,9 +112,8 @@ def worth_a_look(block: pa.RecordBatch) -> np.ndarray:
     look = np.zeros(len(bounds) - 1, bool)
     raw = data.tobytes().lower()
     at = np.array([m.start() for m in HINT.finditer(raw)], np.int64)
-    breaks = np.concatenate([[-1], np.flatnonzero(~TOKEN_BYTES[data]), [len(data)]])
-    at = np.concatenate([at, breaks[:-1][np.diff(breaks) > RUN] + RUN])
-    at = at[at < len(data)]
+    starts, ends, _ = word_bounds(data, bounds, TOKEN_BYTES)
+    at = np.concatenate([at, starts[ends - starts >= RUN]])
     look[np.searchsorted(bounds, at, side="right") - 1] = True
     return look
 

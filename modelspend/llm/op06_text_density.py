@@ -6,8 +6,10 @@ characters and LT tags in links, it is C/T times the logarithm of
 C/(C-LC) * T/LT to the base ln(C/(C-LC) * LC + LB/CB * C + e), where LB and CB
 are the body's.  A node's density sum adds its children's densities; the
 subtree with the largest sum holds the article.  The smallest density on the
-path from it to the body is the threshold that other parts of the same article
-element must reach to count as text too.
+path from it to the body is the threshold that other parts of the page must
+reach to count as text too; of each such part, the subtree with its largest sum
+is taken.  Within the same article or main element, parts that are not mostly
+links count as well.
 
 Elements that are never an article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are left out by tag, role,
@@ -237,7 +239,17 @@ class Page:
                     chosen.discard(i)
         if outer != best:
             chosen |= {i for i in path[: path.index(outer) + 1]}
-        return chosen
+        # anywhere on the page, dense subtrees: the node with the largest sum in each
+        densest = list(range(n))
+        for i in range(n - 1, self.body, -1):
+            up = self.parent[i]
+            if inside[i] and self.sum[densest[i]] >= self.sum[densest[up]] and self.sum[densest[i]] > self.sum[up]:
+                densest[up] = densest[i]
+        dense = {densest[i] for i in range(n) if inside[i] and self.chars[i] and self.density[i] >= threshold}
+        for i in range(n):
+            if inside[i] and (i in dense or self.parent[i] in dense):
+                dense.add(i)
+        return chosen | dense
 
     def counts(self, i: int, threshold: float) -> bool:
         return self.density[i] >= threshold or 2 * self.link_chars[i] < self.chars[i]

@@ -252,6 +252,21 @@ def test_article(page, text):
     assert O6.extract(page) == text
 
 
+def test_article_in_several_parts():
+    """Without article or main, every dense part of the page is text, and thin ones are not."""
+    part = lambda name, n: "".join(f"<p>{name} {i} says a whole sentence of the text, long enough to count.</p>" for i in range(n))
+    links = "<div><ul>" + "".join(f"<li><a href='/{i}'>to {i}</a></li>" for i in range(9)) + "</ul></div>"
+    said = [f"{name} {i} says a whole sentence of the text, long enough to count." for name, n in (("one", 5), ("two", 4)) for i in range(n)]
+    halves = f"<div>{part('one', 5)}</div>", f"<div>{part('two', 4)}</div>"
+    pages = [
+        f"<body>{links}<div class=post>{halves[0]}{halves[1]}</div></body>",
+        f"<body>{halves[0]}{links}<section><div>{halves[1]}</div></section></body>",
+        f"<body><article>{part('one', 5)}</article>{links}<article>{part('two', 4)}</article></body>",
+    ]
+    for page in pages:
+        assert O6.extract(page) == "\n".join(said)
+
+
 def test_pages(spark, corpus):
     pages = pd.read_parquet(f"{corpus}/pages.parquet").set_index("page_id")
     rows = O6.op6_text_density(spark, corpus).collect()

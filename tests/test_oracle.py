@@ -4,6 +4,7 @@ import pytest
 
 import oracle
 import __spark_entry__ as entry_module
+from modelspend.registry import QUERIES as OWN
 
 SF_DIR = entry_module.SMALL
 QUERIES = entry_module.queries()
@@ -16,11 +17,11 @@ def duck():
         yield con
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+def test_every_own_query_has_an_oracle():
+    assert set(OWN) <= set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_oracle(spark, duck, name):
     names, rows = oracle.spark_rows(QUERIES[name](spark, SF_DIR))
     expected_names, expected = oracle.duck_rows(duck, SQL[name])

@@ -35,7 +35,7 @@ def corpus(tmp_path_factory):
     """A folder of tables: the small documents with odd rows and extra columns."""
     folder = tmp_path_factory.mktemp("corpus")
     documents().to_parquet(folder / "documents.parquet")
-    for table in ("benchmark", "pages", "conversations"):
+    for table in ("benchmark", "pages", "conversations", "embeddings"):
         pd.read_parquet(f"{SMALL}/{table}.parquet").to_parquet(folder / f"{table}.parquet")
     return str(folder)
 
@@ -44,12 +44,12 @@ def corpus(tmp_path_factory):
 def nothing(tmp_path_factory):
     """A folder of the same tables without rows."""
     folder = tmp_path_factory.mktemp("nothing")
-    for table in ("documents", "benchmark", "pages", "conversations"):
+    for table in ("documents", "benchmark", "pages", "conversations", "embeddings"):
         pd.read_parquet(f"{SMALL}/{table}.parquet").iloc[:0].to_parquet(folder / f"{table}.parquet")
     # types that pandas loses without rows
     import pyarrow.parquet as pq
 
-    for table in ("documents", "benchmark", "pages", "conversations"):
+    for table in ("documents", "benchmark", "pages", "conversations", "embeddings"):
         pq.write_table(pq.read_table(f"{SMALL}/{table}.parquet").slice(0, 0), folder / f"{table}.parquet")
     return str(folder)
 

@@ -12,6 +12,7 @@ from modelspend.llm.op07_kneser_ney import op7_kneser_ney
 from modelspend.llm.op08_quality_outliers import op8_quality_outliers
 from modelspend.llm.op09_reply_trees import op9_reply_trees
 from modelspend.llm.op10_linked_credentials import op10_linked_credentials
+from modelspend.llm.op11_lsh_forest import op11_lsh_forest
 from modelspend.llm.op12_turn_repair import op12_turn_repair
 from modelspend.llm.op13_ns_clustering import SQL as CLUSTERING_SQL
 from modelspend.llm.op13_ns_clustering import op13_ns_clustering
@@ -29,6 +30,7 @@ QUERIES = {
         op8_quality_outliers,
         op9_reply_trees,
         op10_linked_credentials,
+        op11_lsh_forest,
         op12_turn_repair,
         op13_ns_clustering,
     )

@@ -17,14 +17,15 @@ taken up again from their ends.  With 16 trees of depth 4 a pair of similarity 0
 shares no region with probability 8e-6.
 
 *Links.*  Candidates that agree on fewer than ``WEAK`` of 128 hashes are passed over (a pair of
-similarity 0.85 does with probability 1e-8).  All others are confirmed on the full sets, but
-only as far as they still join different components: first each node's best candidate, then the best of each pair
-of components, then all that remain.
+similarity 0.85 does with probability 1e-8).  Each row offers its best candidate in
+each tree.  These are confirmed on the full sets, but only as far as they still join
+different components: first each node's best, then each component's best, then all that remain.
+Regions that still hold several components and had more candidates than were offered
+are gone through pair by pair on the full sets, a region of at most ``WINDOW`` nodes to a task.
 
-*Crowded regions.*  Where the window left neighbours out, or two strong candidates of a region
-turned out not to be linked, and the region still holds several components, its nodes
-are joined exactly by prefix filtering: two sets of the required similarity share
-one of their rarest ``n - ceil(0.85 n) + 1`` shingles.
+*Crowded regions.*  Where the window left neighbours out and the region still holds several
+components, its nodes are joined exactly by prefix filtering: two sets of the required
+similarity share one of their rarest ``n - ceil(0.85 n) + 1`` shingles.
 
 Every step is stored in the shared folder and deleted when nothing reads it any more.
 
@@ -46,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelspend.llm.op03_simhash_bktree import components
+from modelspend.llm.components import components
 from modelspend.llm.shared import discard, joined_bytes, read_table, stage, text_blocks
 from modelspend.llm.words import NOT_SPACE, mix, word_bounds, word_hashes
 
@@ -61,8 +62,8 @@ HASHES = TREES * STEP
 DEPTH = 4
 #: Neighbours in order that a node is compared with at most, the rest of a crowded region being joined exactly.
 WINDOW = 512
-#: Agreeing hashes that make a candidate, and one that is taken to be linked until confirmed.
-WEAK, STRONG = 84, 119
+#: Agreeing hashes that make a candidate.
+WEAK = 84
 
 _RNG = np.random.Generator(np.random.PCG64(11))
 _ODD = _RNG.integers(1, 2**63, HASHES + SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -70,7 +71,7 @@ WIDTH = 2 * HASHES
 PREFIX = 2 * DEPTH
 
 PAIR, CROWDED, EDGE = range(3)
-FOUND = "kind int, a binary, b binary, agree int, part int, head boolean, tree int, place binary, n bigint"
+FOUND = "kind int, a binary, b binary, agree int, offers int, part int, head boolean, tree int, place binary, n bigint"
 
 
 # ------------------------------------------------------------- sets and signatures
@@ -131,7 +132,9 @@ def signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in text_blocks(batches, 2 << 20):
         sets = [s.tobytes() for s in shingle_sets(block.column("text"))]
-        yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(sets, pa.binary())], names=["node", "items"])
+        yield pa.RecordBatch.from_arrays(
+            [block.column("node"), block.column("sign"), pa.array(sets, pa.binary())], names=["node", "sign", "items"]
+        )
 
 
 def with_text_key(docs: DataFrame) -> DataFrame:
@@ -155,76 +158,71 @@ def distinct_sets(rows: DataFrame) -> DataFrame:
 
 
 class Region:
-    """The last rows of one region of a tree, and which of them are taken to be linked."""
+    """The last rows of one region of a tree."""
 
     def __init__(self, window: int):
         self.window = window
         self.signs = np.empty((2 * window, HASHES), np.uint16)
         self.sizes = np.empty(2 * window, np.int64)
-        self.labels = np.empty(2 * window, np.int64)
         self.nodes: list[bytes] = []
-        self.reset()
+        self.rows = 0
 
     def reset(self) -> None:
         self.nodes.clear()
         self.rows = 0
 
-    def add(self, node: bytes, sign: np.ndarray, size: int) -> list[tuple[bytes, bytes, int]]:
-        """Put in the next row; its candidates, one of each group of rows taken to be linked."""
+    def add(self, node: bytes, sign: np.ndarray, size: int) -> tuple[bytes, bytes, int, int] | None:
+        """Put in the next row: its best candidate (a, b, agreeing hashes, number of candidates), if any."""
         window, here = self.window, len(self.nodes)
         if here == 2 * window:
-            for kept in (self.signs, self.sizes, self.labels):
+            for kept in (self.signs, self.sizes):
                 kept[:window] = kept[window:]
             del self.nodes[:window]
             here = window
-        low = max(0, here - window)
-        label, out = self.rows, []
+        low, out = max(0, here - window), None
         if here:
             agree = np.count_nonzero(self.signs[low:here] == sign, axis=1)
-            others = self.sizes[low:here]
-            fits = 100 * np.minimum(others, size) >= SIMILAR * np.maximum(others, size)
-            near = np.flatnonzero((agree >= WEAK) & fits)
-            if len(near):
-                labels = self.labels[low:here][near]
-                for group in np.unique(labels).tolist():
-                    mine = near[labels == group]
-                    best = int(mine[np.argmax(agree[mine])])
-                    score = int(agree[best])
-                    other = self.nodes[low + best]
-                    if other != node:
-                        out.append((min(node, other), max(node, other), score))
-                    if score >= STRONG:
-                        every = self.labels[:here]
-                        every[every == group] = label
-        self.signs[here], self.sizes[here], self.labels[here] = sign, size, label
+            agree[~alike(self.sizes[low:here], size)] = 0
+            best = int(agree.argmax())
+            other = self.nodes[low + best]
+            if agree[best] >= WEAK:
+                out = (min(node, other), max(node, other), int(agree[best]), int(np.count_nonzero(agree >= WEAK)))
+        self.signs[here], self.sizes[here] = sign, size
         self.nodes.append(node)
         self.rows += 1
         return out
 
 
+def alike(sizes: np.ndarray, size: int) -> np.ndarray:
+    """Can sets of these sizes be similar enough?"""
+    return 100 * np.minimum(sizes, size) >= SIMILAR * np.maximum(sizes, size)
+
+
 def found_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.int64()]
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.int64()]
     names = [c.split()[0] for c in FOUND.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def neighbours(window: int, edges: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Candidates among rows (unit, tree, place, node, n) in order.
+    """The best candidate of each of the rows (unit, tree, place, node, n), which come in order.
 
-    A crowded region is reported by one of its nodes.  With ``edges``, the rows of the
-    partition's first and last region are reported as well, up to a window each.
+    Crowded regions are reported.  With ``edges``, so are the rows of the partition's
+    first and last region, up to a window each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         region, key, out = Region(window), None, []
-        first, regions = [], 0
+        first, tail, regions = [], [], 0
+
+        def crowded(tree: int, place: bytes) -> None:
+            out.append((CROWDED, None, None, None, None, None, None, tree, place[:PREFIX], None))
 
         def edge(head: bool, rows: list) -> None:
-            out.extend((EDGE, node, None, None, part, head, tree, place, n) for tree, place, node, n in rows)
+            out.extend((EDGE, node, None, None, None, part, head, tree, place, n) for tree, place, node, n in rows)
 
-        tail: list = []
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("unit", "tree", "place", "node", "n")]
             for unit, tree, place, node, n in zip(*columns, strict=True):
@@ -233,9 +231,10 @@ def neighbours(window: int, edges: bool) -> Callable[[Iterator[pa.RecordBatch]],
                     region.reset()
                     regions += 1
                 if region.rows == window:
-                    out.append((CROWDED, node, None, None, None, None, None, None, None))
-                for a, b, agree in region.add(node, np.frombuffer(place, np.uint16), n):
-                    out.append((PAIR, a, b, agree, None, None, None, None, None))
+                    crowded(tree, place)
+                best = region.add(node, np.frombuffer(place, np.uint16), n)
+                if best:
+                    out.append((PAIR, *best, None, None, tree, place[:PREFIX], None))
                 if edges:
                     if regions == 1 and len(first) < window:
                         first.append((tree, place, node, n))
@@ -249,7 +248,7 @@ def neighbours(window: int, edges: bool) -> Callable[[Iterator[pa.RecordBatch]],
             edge(True, first)
             edge(False, tail[-window:])
             if regions == 1:  # a region that goes on at both ends
-                out.append((CROWDED, first[0][2], None, None, None, None, None, None, None))
+                crowded(*first[0][:2])
         yield found_batch(out)
 
     return run
@@ -270,7 +269,7 @@ def regions_of(nodes: DataFrame) -> DataFrame:
 
 
 def candidates(nodes: DataFrame, regions: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a, b, agree), and one node of every crowded region; both stored."""
+    """Distinct offered pairs (a, b, agree), and for each region whether it was crowded or had more candidates than offers; both stored."""
     trees = regions.groupBy("node").agg(F.collect_set("tree").alias("trees"))
     places = tree_places(F.col("sign"))
     rows = nodes.join(trees, "node").select("node", "n", F.explode("trees").alias("tree"), places.alias("places"))
@@ -294,8 +293,10 @@ def candidates(nodes: DataFrame, regions: DataFrame, window: int = WINDOW) -> tu
     both = stage(found.filter(F.col("kind") != EDGE).unionByName(joined), "candidates")
     discard(found)
     pairs = both.filter(F.col("kind") == PAIR).groupBy("a", "b").agg(F.max("agree").alias("agree"))
-    crowded = both.filter(F.col("kind") == CROWDED).select(F.col("a").alias("node")).distinct()
-    stored = stage(pairs, "pairs"), stage(crowded, "crowded")
+    state = both.groupBy("tree", F.col("place").alias("region")).agg(
+        F.max((F.col("kind") == CROWDED).cast("int")).alias("crowded"), (F.max("offers") > 1).alias("more")
+    )
+    stored = stage(pairs, "pairs"), stage(state.filter("crowded = 1 OR more"), "region-state")
     discard(both)
     return stored
 
@@ -303,25 +304,28 @@ def candidates(nodes: DataFrame, regions: DataFrame, window: int = WINDOW) -> tu
 # -------------------------------------------------------------------- confirming
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= SIMILAR * (len(x) + len(y) - both)
+
+
 def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, linked) from two sets each."""
     for batch in batches:
         linked = []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * both >= SIMILAR * (len(x) + len(y) - both))
+            linked.append(similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
 
-def full_sets(needed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, items): the whole sets of some nodes, from their texts."""
-    wanted = needed.join(nodes.select("node", "first.doc_id", "first.text_key"), "node")
-    wanted = wanted.select("node", F.col("doc_id").alias("want_id"), F.col("text_key").alias("want_key"))
+def full_sets(regions: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, sign, items): the whole sets of the nodes that have neighbours, from their texts."""
+    wanted = nodes.join(regions.select("node").distinct(), "node", "left_semi")
+    wanted = wanted.select("node", "sign", F.col("first.doc_id").alias("want_id"), F.col("first.text_key").alias("want_key"))
     texts = with_text_key(docs)
     same = (F.col("text_key") == F.col("want_key")) & F.col("doc_id").eqNullSafe(F.col("want_id"))
-    texts = texts.join(wanted, same).groupBy("node").agg(F.first("text").alias("text"))
-    return texts.mapInArrow(set_rows, "node binary, items binary")
+    texts = texts.join(wanted, same).groupBy("node").agg(F.first("sign").alias("sign"), F.first("text").alias("text"))
+    return texts.mapInArrow(set_rows, "node binary, sign binary, items binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -343,64 +347,103 @@ def rooted(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
     return ends.filter("ra <> rb")
 
 
-def best_of(pairs: DataFrame, *keys: Column) -> DataFrame:
-    """The pair of most agreeing hashes for each key."""
+def best_of(pairs: DataFrame, ends: tuple[str, str]) -> DataFrame:
+    """For each end, the pair of most agreeing hashes."""
+    key = F.explode(F.array(*ends))
     top = F.max(F.struct("agree", "a", "b")).alias("top")
-    return pairs.groupBy(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).agg(top).select("top.*")
+    return pairs.select(key.alias("end"), "agree", "a", "b").groupBy("end").agg(top).select("top.a", "top.b").distinct()
 
 
 class Links:
-    """Confirmed links so far and the components they make."""
+    """What has been confirmed and refuted, and the components of the links."""
 
-    def __init__(self, nodes: DataFrame, docs: DataFrame):
-        self.nodes, self.docs = nodes, docs
+    def __init__(self, sets: DataFrame):
+        self.sets = sets
         self.tried: list[DataFrame] = []
         self.roots: DataFrame | None = None
 
-    def known(self) -> DataFrame | None:
-        out = None
-        for table in self.tried:
-            out = table if out is None else out.unionByName(table)
-        return out
-
     def open(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` that are not confirmed or refuted and would join two components."""
+        """Those of ``pairs`` that were not tried and would join two components."""
         left = rooted(pairs, self.roots)
-        known = self.known()
-        return left if known is None else left.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        for table in self.tried:
+            left = left.join(table.select("a", "b"), ["a", "b"], "left_anti")
+        return left
 
-    def settle(self, pairs: DataFrame, sets: DataFrame | None = None) -> None:
+    def settle(self, pairs: DataFrame) -> None:
         """Confirm or refute ``pairs`` on the whole sets and join what is linked."""
-        pairs = stage(pairs.select("a", "b"), "to-confirm")
-        if not pairs.isEmpty():
-            own = sets
-            if own is None:
-                needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-                own = stage(full_sets(needed, self.nodes, self.docs), "sets")
-            self.tried.append(stage(confirmed(pairs, own), "confirmed"))
-            if sets is None:
-                discard(own)
-            roots = stage(components(self.known().filter("linked").select("a", "b")), "roots")
-            if self.roots is not None:
-                discard(self.roots)
-            self.roots = roots
-        discard(pairs)
-
-    def refuted(self) -> DataFrame | None:
-        known = self.known()
-        return None if known is None else known.filter("NOT linked").select("a", "b")
-
-
-def rest_of_regions(regions: DataFrame, marked: DataFrame, links: Links) -> DataFrame:
-    """Nodes of the regions that hold a marked node and still several components."""
-    keys = regions.join(marked, "node", "left_semi").select("tree", "region").distinct()
-    rows = regions.join(keys, ["tree", "region"])
-    if links.roots is not None:
-        rows = rows.join(links.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    else:
-        rows = rows.withColumn("root", F.col("node"))
+        self.join(stage(confirmed(pairs, self.sets), "confirmed"))
+
+    def join(self, tried: DataFrame) -> None:
+        """Take up pairs (a, b, linked), stored."""
+        self.tried.append(tried)
+        edges = rooted(tried.filter("linked"), self.roots).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        joined = components(edges)
+        if self.roots is None:
+            self.roots = joined
+            return
+        # old components under their new names, and nodes that were alone before
+        renamed = self.roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
+        renamed = renamed.select("node", F.coalesce("new", "root").alias("root"))
+        alone = joined.join(self.roots.select(F.col("root").alias("node")), "node", "left_anti")
+        alone = alone.join(self.roots, "node", "left_anti")
+        after = stage(renamed.unionByName(alone), "roots")
+        discard(self.roots, joined)
+        self.roots = after
+
+    def discard(self) -> None:
+        discard(*self.tried)
+
+
+def divided(regions: DataFrame, state: DataFrame, links: Links) -> DataFrame:
+    """(tree, region, node, root) of those regions in ``state`` that hold several components."""
+    rows = regions.join(state.select("tree", "region"), ["tree", "region"]).join(links.roots, "node", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "node"))
     several = rows.groupBy("tree", "region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return rows.join(several.select("tree", "region"), ["tree", "region"]).select("node", "root").distinct()
+    return rows.join(several.select("tree", "region"), ["tree", "region"])
+
+
+def region_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the components of each region; the rows (tree, region, root, node, sign, items) of one come together."""
+    key, out = None, []
+    nodes: list[bytes] = []
+    labels: list[bytes] = []
+    sets: list[np.ndarray] = []
+    signs: list[np.ndarray] = []
+
+    def add(root: bytes, node: bytes, sign: bytes, items: bytes) -> None:
+        own, mine, label = np.frombuffer(items, np.uint64), np.frombuffer(sign, np.uint16), root
+        if nodes:
+            agree = np.count_nonzero(np.stack(signs) == mine, axis=1)
+            agree[~alike(np.array([len(x) for x in sets]), len(own))] = 0
+            for i in np.argsort(-agree, kind="stable").tolist():
+                if agree[i] < WEAK:
+                    break
+                if labels[i] != label and similar(sets[i], own):
+                    out.append((min(nodes[i], node), max(nodes[i], node)))
+                    # the row's component takes the other's name
+                    old, label = label, labels[i]
+                    labels[:] = [label if x == old else x for x in labels]
+        nodes.append(node)
+        labels.append(label)
+        sets.append(own)
+        signs.append(mine)
+
+    def links() -> pa.RecordBatch:
+        a, b = zip(*out, strict=True) if out else ((), ())
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("tree", "region", "root", "node", "sign", "items")]
+        for tree, region, *row in zip(*columns, strict=True):
+            if key != (tree, region):
+                key = (tree, region)
+                for kept in (nodes, labels, sets, signs):
+                    kept.clear()
+            add(*row)
+        if len(out) > 10_000:
+            yield links()
+    yield links()
 
 
 def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,26 +480,26 @@ def prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
-def near_components(nodes: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame | None:
-    """(node, root) of the nodes that are linked with others, stored; None where there are none."""
+def near_components(nodes: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(node, root) of the nodes that are linked with others, stored."""
     regions = stage(regions_of(nodes), "regions")
-    pairs, crowded = candidates(nodes, regions, window)
-    links = Links(nodes, docs)
-    links.settle(best_of(pairs, F.col("b")))
-    links.settle(best_of(links.open(pairs), F.least("ra", "rb"), F.greatest("ra", "rb")))
+    pairs, state = candidates(nodes, regions, window)
+    sets = stage(full_sets(regions, nodes, docs), "sets")
+    links = Links(sets)
+    links.settle(best_of(pairs, ("a", "b")))
+    links.settle(best_of(links.open(pairs), ("ra", "rb")))
     links.settle(links.open(pairs))
 
-    marked = crowded
-    refuted = links.refuted()
-    if refuted is not None:
-        strong = pairs.filter(F.col("agree") >= STRONG).join(refuted, ["a", "b"], "left_semi")
-        marked = marked.union(strong.select("a")).union(strong.select("b")).distinct()
-    rest = stage(rest_of_regions(regions, marked, links), "rest")
+    rows = divided(regions, state.filter("crowded = 0"), links).join(sets, "node").select("tree", "region", "root", "node", "sign", "items")
+    rows = rows.repartition("tree", "region").sortWithinPartitions("tree", "region", "root", "node")
+    found = rows.mapInArrow(region_links, "a binary, b binary").distinct().withColumn("linked", F.lit(True))
+    links.join(stage(found, "region-links"))
+
+    rest = stage(divided(regions, state.filter("crowded = 1"), links).select("node", "root").distinct(), "rest")
     if not rest.isEmpty():
-        sets = stage(full_sets(rest.select("node"), nodes, docs), "sets")
-        links.settle(links.open(prefix_pairs(rest, sets)), sets)
-        discard(sets)
-    discard(rest, regions, pairs, crowded)
+        links.settle(links.open(prefix_pairs(rest, sets)))
+    links.discard()
+    discard(rest, regions, pairs, state, sets)
     return links.roots
 
 
@@ -465,14 +508,12 @@ def group_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = stage(signed(docs), "signed")
     nodes = stage(distinct_sets(rows), "nodes")
     roots = near_components(nodes, docs, window)
-    named = nodes.select("node", F.col("first.doc_id").alias("first"))
-    if roots is None:
-        named = named.withColumnRenamed("first", "component_id")
-    else:
-        named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-        named = named.join(names, "root").select("node", "component_id")
+    named = nodes.select("node", F.col("first.doc_id").alias("first")).join(roots, "node", "left")
+    named = named.withColumn("root", F.coalesce("root", "node"))
+    names = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = named.join(names, "root").select("node", "component_id")
     named = stage(named, "named")
+    discard(nodes, roots)
     out = rows.join(named, "node", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

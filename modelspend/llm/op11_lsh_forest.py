@@ -17,15 +17,13 @@ taken up again from their ends.  With 16 trees of depth 4 a pair of similarity 0
 shares no region with probability 8e-6.
 
 *Links.*  Candidates that agree on fewer than ``WEAK`` of 128 hashes are passed over (a pair of
-similarity 0.85 does with probability 1e-8).  Each row offers its best candidate in
+similarity 0.85 does with probability 7e-6).  Each row offers its best candidate in
 each tree.  These are confirmed on the full sets, but only as far as they still join
 different components: first each node's best, then each component's best, then all that remain.
-Regions that still hold several components and had more candidates than were offered
-are gone through pair by pair on the full sets, a region of at most ``WINDOW`` nodes to a task.
-
-*Crowded regions.*  Where the window left neighbours out and the region still holds several
-components, its nodes are joined exactly by prefix filtering: two sets of the required
-similarity share one of their rarest ``n - ceil(0.85 n) + 1`` shingles.
+A region that still holds several components, and where the window left neighbours out or a
+row had more candidates than its offer, is gone through on the full sets: every node
+outside its largest component is compared with all of the region.  A unit of that work is a block of such nodes
+with a block of the region, ``BLOCK`` nodes each at most; what it returns are links.
 
 Every step is stored in the shared folder and deleted when nothing reads it any more.
 
@@ -60,10 +58,12 @@ STEP = 8
 HASHES = TREES * STEP
 #: Leading hashes that neighbours share at least; a region of a tree.
 DEPTH = 4
-#: Neighbours in order that a node is compared with at most, the rest of a crowded region being joined exactly.
+#: Neighbours in order that a node is compared with at most before a crowded region is gone through in blocks.
 WINDOW = 512
+#: Nodes in a block of a divided region.
+BLOCK = 2048
 #: Agreeing hashes that make a candidate.
-WEAK = 84
+WEAK = 90
 
 _RNG = np.random.Generator(np.random.PCG64(11))
 _ODD = _RNG.integers(1, 2**63, HASHES + SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -394,39 +394,82 @@ class Links:
         discard(*self.tried)
 
 
-def divided(regions: DataFrame, state: DataFrame, links: Links) -> DataFrame:
-    """(tree, region, node, root) of those regions in ``state`` that hold several components."""
-    rows = regions.join(state.select("tree", "region"), ["tree", "region"]).join(links.roots, "node", "left")
+def divided(regions: DataFrame, state: DataFrame, roots: DataFrame) -> DataFrame:
+    """(tree, region, node, root, largest, rows, outside) of those regions in ``state`` that hold several components.
+
+    ``outside`` counts the rows that are not in the region's largest component.
+    """
+    rows = regions.join(state.select("tree", "region"), ["tree", "region"]).join(roots, "node", "left")
     rows = rows.withColumn("root", F.coalesce("root", "node"))
-    several = rows.groupBy("tree", "region").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return rows.join(several.select("tree", "region"), ["tree", "region"])
-
-
-def region_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between the components of each region; the rows (tree, region, root, node, sign, items) of one come together."""
-    key, out = None, []
-    nodes: list[bytes] = []
-    labels: list[bytes] = []
-    sets: list[np.ndarray] = []
-    signs: list[np.ndarray] = []
-
-    def add(root: bytes, node: bytes, sign: bytes, items: bytes) -> None:
-        own, mine, label = np.frombuffer(items, np.uint64), np.frombuffer(sign, np.uint16), root
-        if nodes:
-            agree = np.count_nonzero(np.stack(signs) == mine, axis=1)
-            agree[~alike(np.array([len(x) for x in sets]), len(own))] = 0
-            for i in np.argsort(-agree, kind="stable").tolist():
-                if agree[i] < WEAK:
-                    break
-                if labels[i] != label and similar(sets[i], own):
-                    out.append((min(nodes[i], node), max(nodes[i], node)))
-                    # the row's component takes the other's name
-                    old, label = label, labels[i]
-                    labels[:] = [label if x == old else x for x in labels]
-        nodes.append(node)
-        labels.append(label)
-        sets.append(own)
-        signs.append(mine)
+    parts = rows.groupBy("tree", "region", "root").agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("tree", "region").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("rows"))
+    whole = whole.select("tree", "region", F.col("top.root").alias("largest"), "rows", (F.col("rows") - F.col("top.n")).alias("outside"))
+    return rows.join(whole.filter("outside > 0"), ["tree", "region"])
+
+
+def in_units(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows of divided regions in units (tree, region, low, high); ``probe`` rows are compared with the others."""
+    blocks, outer = (F.ceil(F.col(c) / block).cast("int") for c in ("rows", "outside"))
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    below = lambda n: F.sequence(F.lit(0), n - 1)
+    every = F.transform(below(outer), lambda j: F.struct(place(blocks).alias("low"), j.alias("high"), F.lit(False).alias("probe")))
+    probes = F.transform(below(blocks), lambda i: F.struct(i.alias("low"), place(outer).alias("high"), F.lit(True).alias("probe")))
+    units = F.when(F.col("root") == F.col("largest"), every).otherwise(F.concat(every, probes))
+    return rows.select("tree", "region", "node", "root", F.explode(units).alias("unit")).select("*", "unit.*").drop("unit")
+
+
+class Unit:
+    """A block of a region, with the components its nodes are known to be in."""
+
+    def __init__(self):
+        self.nodes: list[bytes] = []
+        self.labels: list[bytes] = []
+        self.sets: list[np.ndarray] = []
+        self.signs: list[np.ndarray] = []
+        self.names: dict[bytes, bytes] = {}
+        self.ready: tuple | None = None
+
+    def name(self, label: bytes) -> bytes:
+        while label in self.names:
+            label = self.names[label]
+        return label
+
+    def put(self, root: bytes, node: bytes, sign: bytes, items: bytes) -> None:
+        self.nodes.append(node)
+        self.labels.append(root)
+        self.sets.append(np.frombuffer(items, np.uint64))
+        self.signs.append(np.frombuffer(sign, np.uint16))
+
+    def compare(self, root: bytes, node: bytes, sign: bytes, items: bytes) -> Iterator[tuple[bytes, bytes]]:
+        """Links of a node to the components of the block, one to each that has one."""
+        if not self.nodes:
+            return
+        if self.ready is None:
+            self.ready = np.stack(self.signs), np.array([len(s) for s in self.sets])
+        signs, sizes = self.ready
+        own = np.frombuffer(items, np.uint64)
+        agree = np.count_nonzero(signs == np.frombuffer(sign, np.uint16), axis=1)
+        near = np.flatnonzero((agree >= WEAK) & alike(sizes, len(own)))
+        near = near[np.argsort(-agree[near], kind="stable")]
+        for at in range(0, len(near), 64):
+            other = [i for i in near[at : at + 64].tolist() if self.name(self.labels[i]) != self.name(root)]
+            if not other:
+                continue
+            items_of = np.concatenate([self.sets[i] for i in other])
+            starts = np.concatenate([[0], np.cumsum(sizes[other])[:-1]])
+            at_most = np.minimum(np.searchsorted(own, items_of), len(own) - 1)
+            both = np.add.reduceat((own[at_most] == items_of).astype(np.int64), starts)
+            linked = 100 * both >= SIMILAR * (len(own) + sizes[other] - both)
+            for i in (i for i, yes in zip(other, linked.tolist(), strict=True) if yes):
+                mine, its = self.name(root), self.name(self.labels[i])
+                if mine != its:
+                    self.names[mine] = its
+                    yield min(node, self.nodes[i]), max(node, self.nodes[i])
+
+
+def unit_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components; a unit's rows come together, those to compare after the others."""
+    key, unit, out = None, Unit(), []
 
     def links() -> pa.RecordBatch:
         a, b = zip(*out, strict=True) if out else ((), ())
@@ -434,53 +477,28 @@ def region_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("tree", "region", "root", "node", "sign", "items")]
-        for tree, region, *row in zip(*columns, strict=True):
-            if key != (tree, region):
-                key = (tree, region)
-                for kept in (nodes, labels, sets, signs):
-                    kept.clear()
-            add(*row)
+        columns = [batch.column(c).to_pylist() for c in ("tree", "region", "low", "high", "probe", "root", "node", "sign", "items")]
+        for tree, region, low, high, probe, *row in zip(*columns, strict=True):
+            if key != (tree, region, low, high):
+                key, unit = (tree, region, low, high), Unit()
+            if probe:
+                out.extend(unit.compare(*row))
+            else:
+                unit.put(*row)
         if len(out) > 10_000:
             yield links()
     yield links()
 
 
-def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, root, n, item) of every item of every set."""
-    for batch in batches:
-        for node, root, items in zip(batch.column("node"), batch.column("root"), batch.column("items"), strict=True):
-            values = np.frombuffer(items.as_buffer(), np.int64)
-            for at in range(0, len(values), 20_000):
-                part = values[at : at + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v] * len(part), k) for v, k in ((node.as_py(), pa.binary()), (root.as_py(), pa.binary()), (len(values), pa.int64()))]
-                    + [pa.array(part)],
-                    names=["node", "root", "n", "item"],
-                )
-
-
-def prefix_pairs(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): all pairs of different components that can reach the similarity, by their rarest shingles."""
-    items = rest.join(sets, "node").select("node", "root", "items").mapInArrow(exploded, "node binary, root binary, n bigint, item bigint")
-    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
-    needed = F.floor((100 - SIMILAR) * F.col("n") / 100).cast("int") + 1
-    rarest = (
-        items.join(counts, "item")
-        .groupBy("node", "root", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("items"))
-        .select("node", "root", "n", F.explode(F.slice("items", F.lit(1), needed)).alias("rare"))
-        .filter("rare.df > 1")
-        .select("node", "root", "n", F.col("rare.item").alias("item"))
-    )
-    rarest = stage(rarest, "rarest")
-    a, b = rarest.alias("a"), rarest.alias("b")
-    fits = 100 * F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n")
-    met = a.join(b, (F.col("a.item") == F.col("b.item")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root")) & fits)
-    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+def links_within(rows: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): links between the components of divided regions."""
+    key = ("tree", "region", "low", "high")
+    rows = in_units(rows, block).join(sets, "node").select(*key, "probe", "root", "node", "sign", "items")
+    rows = rows.repartition(*key).sortWithinPartitions(*key, "probe", "root", "node")
+    return rows.mapInArrow(unit_links, "a binary, b binary").distinct()
 
 
-def near_components(nodes: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def near_components(nodes: DataFrame, docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """(node, root) of the nodes that are linked with others, stored."""
     regions = stage(regions_of(nodes), "regions")
     pairs, state = candidates(nodes, regions, window)
@@ -489,25 +507,18 @@ def near_components(nodes: DataFrame, docs: DataFrame, window: int = WINDOW) ->
     links.settle(best_of(pairs, ("a", "b")))
     links.settle(best_of(links.open(pairs), ("ra", "rb")))
     links.settle(links.open(pairs))
-
-    rows = divided(regions, state.filter("crowded = 0"), links).join(sets, "node").select("tree", "region", "root", "node", "sign", "items")
-    rows = rows.repartition("tree", "region").sortWithinPartitions("tree", "region", "root", "node")
-    found = rows.mapInArrow(region_links, "a binary, b binary").distinct().withColumn("linked", F.lit(True))
+    found = links_within(divided(regions, state, links.roots), sets, block).withColumn("linked", F.lit(True))
     links.join(stage(found, "region-links"))
-
-    rest = stage(divided(regions, state.filter("crowded = 1"), links).select("node", "root").distinct(), "rest")
-    if not rest.isEmpty():
-        links.settle(links.open(prefix_pairs(rest, sets)))
     links.discard()
-    discard(rest, regions, pairs, state, sets)
+    discard(regions, pairs, state, sets)
     return links.roots
 
 
-def group_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def group_documents(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     rows = stage(signed(docs), "signed")
     nodes = stage(distinct_sets(rows), "nodes")
-    roots = near_components(nodes, docs, window)
+    roots = near_components(nodes, docs, window, block)
     named = nodes.select("node", F.col("first.doc_id").alias("first")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -68,14 +68,14 @@ def test_query(spark, corpus, docs):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows.collect())
 
 
-@pytest.mark.parametrize("window", [2, 16, 512])
-def test_crowded_regions_lose_no_link(spark, window):
-    """A window far below the region's size leaves the rest to the exact join."""
+@pytest.mark.parametrize(("window", "block"), [(2, 7), (16, 50), (512, 2048)])
+def test_crowded_regions_lose_no_link(spark, window, block):
+    """A window far below the region's size leaves the rest to the blocks."""
     rows = crowd()
     rows += [(5000, None), (None, rows[3][1]), (None, "only without id"), (5001, " "), (5002, "two words"), (5003, "Two  WORDS"), rows[7]]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS node", "2 AS n", "'x' AS text_key")
     frame = frame.repartition(6)
-    assert got(O11.group_documents(frame, window)) == expected(rows)
+    assert got(O11.group_documents(frame, window, block)) == expected(rows)
 
 
 def test_regions_cut_by_partitions(spark):

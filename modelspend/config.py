@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from modelspend import schemas as S
 from modelspend.sources.tables import TableRef, load_table
@@ -52,7 +53,7 @@ class Settings:
 
 @dataclass(frozen=True)
 class Sources:
-    """Input tables by name; each is a DataFrame, a table name or a file path.
+    """Input tables by name; each is a DataFrame, a table name or a file path, or one of these as ``Dated``.
 
     Only the tables a plan needs have to be given.
     """
@@ -70,17 +71,21 @@ class Sources:
     serverless_usage: TableRef | None = None
     node_history: TableRef | None = None
 
-    def load(self, spark: SparkSession, name: str) -> DataFrame:
-        """The named table, checked against the columns the engine needs."""
+    def load(self, spark: SparkSession, name: str, since: datetime | None = None) -> DataFrame:
+        """The named table, checked against the columns the engine needs.
+
+        ``since`` prunes the day folders of a :class:`~modelspend.sources.tables.Dated` table; the caller
+        still filters by time.
+        """
         ref = getattr(self, name)
         if ref is None:
             raise ValueError(f"source table '{name}' is not configured")
-        return load_table(spark, ref, SOURCE_SCHEMAS[name])
+        return load_table(spark, ref, SOURCE_SCHEMAS[name], since)
 
     def load_executions(self, spark: SparkSession) -> list[DataFrame]:
-        return [self.load(spark, "executions")] + [
-            load_table(spark, ref, S.EXECUTIONS) for ref in self.extra_executions
-        ]
+        """The execution log and the extra ones, which may be older and narrower."""
+        needed = T.StructType([S.EXECUTIONS[name] for name in S.EXECUTION_KEYS])
+        return [self.load(spark, "executions")] + [load_table(spark, ref, needed) for ref in self.extra_executions]
 
 
 SOURCE_SCHEMAS = {

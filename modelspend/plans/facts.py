@@ -76,7 +76,7 @@ def usage_matches(
     spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = unstaged
 ) -> Matches:
     """Executions and their finished statements, by run and invocation."""
-    history = histories.usage_history(sources.load(spark, "usage_history"), settings)
+    history = histories.usage_history(sources.load(spark, "usage_history", settings.monitor_start), settings)
     tagged = with_metadata(
         history.filter(~mentions(F.col("query_text"), settings.tracking_table)),
         "query_text",
@@ -94,7 +94,7 @@ def usage_matches(
 
 def credit_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and their statements, by job and run."""
-    history = histories.credit_history(sources.load(spark, "credit_history"), settings)
+    history = histories.credit_history(sources.load(spark, "credit_history", settings.monitor_start), settings)
     tagged = with_metadata(
         history, "query_text", BY_JOB_AND_RUN, OBJECT_COMMENT_PATTERN, settings.metadata_mode
     )
@@ -115,7 +115,7 @@ def credit_matches(spark: SparkSession, sources: Sources, settings: Settings) ->
 
 def job_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and their query jobs, by run and invocation, at creation time."""
-    history = histories.jobs(sources.load(spark, "jobs"), settings)
+    history = histories.jobs(sources.load(spark, "jobs", settings.monitor_start), settings)
     tagged = with_metadata(
         history, "query", BY_RUN_AND_INVOCATION, COMMENT_PATTERN, settings.metadata_mode
     )
@@ -137,7 +137,7 @@ def job_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Ma
 
 def rpu_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and serverless statements, by job alone; the run's time range keeps them apart."""
-    history = histories.rpu_history(sources.load(spark, "rpu_history"), settings)
+    history = histories.rpu_history(sources.load(spark, "rpu_history", settings.monitor_start), settings)
     tagged = with_metadata(
         history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode, guarded=True
     )
@@ -155,7 +155,7 @@ def rpu_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Ma
 
 def node_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and statements of a provisioned cluster, by job alone."""
-    history = histories.node_history(sources.load(spark, "node_history"), settings)
+    history = histories.node_history(sources.load(spark, "node_history", settings.monitor_start), settings)
     tagged = with_metadata(
         history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode, guarded=True
     )
@@ -185,10 +185,10 @@ def usage_costs(
     duplicates) restricts the result to those queries.  The price joins the
     periods, of which there are far fewer than shares.
     """
-    history = histories.usage_history(sources.load(spark, "usage_history"), settings)
+    history = histories.usage_history(sources.load(spark, "usage_history", settings.monitor_start), settings)
     queries = query_spans(history)
     periods = usage_periods(
-        histories.billing_usage(sources.load(spark, "billing_usage"), settings)
+        histories.billing_usage(sources.load(spark, "billing_usage", settings.monitor_start), settings)
     )
     priced = price_usage(
         usage_period_totals(periods, queries), sources.load(spark, "list_prices"), settings.as_of
@@ -316,7 +316,7 @@ def fact_rpu(
 
     Pass ``ordered=False`` when the order is not needed: it costs a global sort.
     """
-    history = histories.rpu_history(sources.load(spark, "rpu_history"), settings)
+    history = histories.rpu_history(sources.load(spark, "rpu_history", settings.monitor_start), settings)
     charged = charged_seconds_per_query(sources.load(spark, "serverless_usage"), history)
     pairs = rpu_matches(spark, sources, settings).matched
     fact = pairs.join(charged, "query_id").select(

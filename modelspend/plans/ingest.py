@@ -32,8 +32,12 @@ def ingest_executions(
     results: DataFrame,
     insert_timestamp: datetime | None = None,
     own_packages: tuple[str, ...] = OWN_PACKAGES,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Tracking rows for run results: tracked commands and node types, own packages left out."""
+    """Tracking rows for run results: tracked commands and node types, own packages left out.
+
+    Columns in ``carried`` are passed on as they are.
+    """
     node = F.col("node")
     is_model = node["resource_type"] == "model"
     stamp = (
@@ -62,11 +66,12 @@ def ingest_executions(
         S.VERSION,
         "run_started_at",
         node_config_json(node, results.schema["node"].dataType).alias("node_config"),
+        *carried,
     )
 
 
-def ingest_job_runs(environments: DataFrame) -> DataFrame:
-    """One tracking row per run environment, with its context as JSON."""
+def ingest_job_runs(environments: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One tracking row per run environment, with its context as JSON; ``carried`` columns are passed on."""
     ids = {
         S.RUN_ID: run_id(F.col(S.RUN_ID), F.col("run_started_at")),
         S.JOB_ID: job_id(F.col(S.JOB_ID), F.col("invocation_id")),
@@ -77,4 +82,5 @@ def ingest_job_runs(environments: DataFrame) -> DataFrame:
         or_null(F.col(S.ENVIRONMENT_ID)).alias(S.ENVIRONMENT_ID),
         or_null(F.col(S.PROJECT_ID)).alias(S.PROJECT_ID),
         run_context_json(context).alias(S.RUN_CONTEXT),
+        *carried,
     )

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modelspend import schemas as S
+from modelspend.sources.tables import reconciled
 
 
 def tracking_union(tables: Iterable[DataFrame]) -> DataFrame:
-    """All execution logs as one relation; duplicates are kept."""
-    columns = S.EXECUTIONS.names
-    return reduce(DataFrame.unionByName, [table.select(*columns) for table in tables])
+    """All execution logs as one relation; duplicates are kept.
+
+    Older logs may lack columns, which are NULL then, and hold narrower types; a
+    type that does not fit raises an error instead of losing values in the union.
+    """
+    return reduce(DataFrame.unionByName, [reconciled(table, S.EXECUTIONS, S.EXECUTION_KEYS) for table in tables])
 
 
 def dedup_job_runs(job_runs: DataFrame) -> DataFrame:

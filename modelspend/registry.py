@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,16 @@ from modelspend.operators import history as H
 from modelspend.operators import quality as Q
 from modelspend.plans import facts, histories, ingest, reports, tracking
 from modelspend.sources import fixtures as X
-from modelspend.sources.staging import CHECKPOINT_DIR, WAREHOUSE_DIR, Stages
+from modelspend.sources.staging import CHECKPOINT_DIR, WAREHOUSE_DIR, Stages, unstaged
+from modelspend.sources.tables import Dated
+from modelspend.streaming.ingest import record_executions, record_job_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SETTINGS = X.SETTINGS
 SNAPSHOT_NOW = datetime(2030, 1, 1)
+# A bound in the middle of a day and of the data.
+RECENT = replace(SETTINGS, monitor_start=datetime(2024, 1, 15, 12, 30))
 
 
 def query(fn: Query) -> Query:
@@ -31,10 +36,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def stages(spark: SparkSession) -> Stages:
-    """Stages in the session's shared folder, or in its warehouse where none is named, as in tests."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(WAREHOUSE_DIR)
-    return Stages(spark, folder)
+def stages(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    """Stages in the session's shared folder; nothing is stored where it names none."""
+    return Stages(spark, spark.conf.get(CHECKPOINT_DIR)) if spark.conf.get(CHECKPOINT_DIR, None) else unstaged
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A folder for the queries that write tables: in the shared folder, or in the warehouse where none is named."""
+    return Stages(spark, spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(WAREHOUSE_DIR)).folder
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -170,6 +179,83 @@ def node_config(spark, sf_dir):
     return results.select("run_started_at", json.alias("node_config"))
 
 
+NTZ_AS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _recorded(spark, rows, record, **options):
+    """Result files recorded in two arrivals, then offered again to a stream without checkpoint."""
+    folder = new_folder(spark)
+    arriving, table = f"{folder}/arriving", f"{folder}/table"
+    for part in (F.col("run_started_at") < "2024-01-12", F.col("run_started_at") >= "2024-01-12"):
+        rows.filter(part).write.mode("append").option("timestampNTZFormat", NTZ_AS_TEXT).json(arriving)
+        record(spark, arriving, table, f"{folder}/checkpoint", rows.schema, **options).awaitTermination()
+    record(spark, arriving, table, f"{folder}/another-checkpoint", rows.schema, **options).awaitTermination()
+    return table
+
+
+@query
+def append_executions(spark, sf_dir):
+    results = X.run_results(X.Inputs(spark, sf_dir))
+    table = _recorded(spark, results, record_executions, insert_timestamp=X.INSERTED_AT)
+    return X.Sources(executions=table).load(spark, "executions").drop("node_config")
+
+
+@query
+def append_job_runs(spark, sf_dir):
+    table = _recorded(spark, X.run_environments(X.Inputs(spark, sf_dir)), record_job_runs)
+    return X.Sources(job_runs=table).load(spark, "job_runs")
+
+
+# ------------------------------------------------------------- partitioned sources
+
+
+def _dated(spark, df, at):
+    """A copy of a table in a folder per day of ``at``, and a batch of it committed beside them."""
+    path = f"{new_folder(spark)}/dated"
+    df.withColumn("day", F.to_date(at)).repartition("day").write.partitionBy("day").parquet(path)
+    return Dated(path, "day")
+
+
+@query
+def scan_dated_history(spark, sf_dir):
+    """Statements since the middle of a day, from a history in day folders."""
+    dated = _dated(spark, X.sources(spark, sf_dir, "usage_history").usage_history, "start_time")
+    loaded = X.Sources(usage_history=dated).load(spark, "usage_history", RECENT.monitor_start)
+    return histories.usage_history(loaded, RECENT)
+
+
+@query
+def scan_dated_billing(spark, sf_dir):
+    dated = _dated(spark, X.sources(spark, sf_dir, "billing_usage").billing_usage, "usage_start_time")
+    loaded = X.Sources(billing_usage=dated).load(spark, "billing_usage", RECENT.monitor_start)
+    return A.usage_periods(histories.billing_usage(loaded, RECENT))
+
+
+@query
+def fact_credits_dated(spark, sf_dir):
+    """The credits fact of recent statements, all tables of statements in day folders."""
+    sources = X.sources(spark, sf_dir, *CREDIT_TABLES)
+    sources = replace(sources, credit_history=_dated(spark, sources.credit_history, "start_time"))
+    return facts.fact_credits(spark, sources, RECENT)
+
+
+@query
+def scan_other_database(spark, sf_dir):
+    """Statements of one of two databases."""
+    history = X.sources(spark, sf_dir, "credit_history").credit_history
+    two = history.withColumn("database_name", F.when(F.col("total_elapsed_time") % 3 == 0, "OTHER").otherwise("SHOP"))
+    return histories.credit_history(two, replace(SETTINGS, database="other"))
+
+
+@query
+def tracking_union_older(spark, sf_dir):
+    """An older log, with fewer columns and narrower types, above the present one."""
+    executions = X.sources(spark, sf_dir, "executions").executions
+    older = executions.drop("node_config", S.VERSION, "query_id").withColumn("execution_time", F.col("execution_time").cast("float"))
+    sources = X.Sources(executions=executions, extra_executions=(older,))
+    return tracking.tracking_union(sources.load_executions(spark))
+
+
 # ------------------------------------------------------------------------ joins
 
 

@@ -94,6 +94,19 @@ EXECUTIONS = _struct(
     node_config=STRING,
 )
 
+# What every execution log has; an older one may lack the other columns.
+EXECUTION_KEYS = (
+    "model_name",
+    "relation_name",
+    "model_package",
+    "status",
+    "invocation_id",
+    "insert_timestamp",
+    RUN_ID,
+    JOB_ID,
+    "run_started_at",
+)
+
 JOB_RUNS = _struct(
     **{RUN_ID: STRING, JOB_ID: STRING, ENVIRONMENT_ID: STRING, PROJECT_ID: STRING, RUN_CONTEXT: STRING}
 )

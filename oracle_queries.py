@@ -13,6 +13,7 @@ from modelspend import schemas as S
 
 RUN, JOB, ENV, PRJ, VER = S.RUN_ID, S.JOB_ID, S.ENVIRONMENT_ID, S.PROJECT_ID, S.VERSION
 START = "TIMESTAMP '2024-01-01 00:00:00'"
+RECENT = "TIMESTAMP '2024-01-15 12:30:00'"
 AS_OF = "DATE '2024-02-01'"
 TRACKING = S.EXECUTIONS_TABLE
 
@@ -490,5 +491,19 @@ BODIES: dict[str, str] = {
 }
 
 
+BODIES |= {
+    "append_executions": BODIES["ingest_executions"],
+    "append_job_runs": BODIES["ingest_job_runs"],
+    "scan_dated_history": f"SELECT * FROM usage_scan WHERE start_time >= {RECENT}",
+    "scan_dated_billing": f"SELECT *, count(*) AS copies FROM u_periods WHERE usage_start_time >= {RECENT} GROUP BY ALL",
+    "fact_credits_dated": f"""SELECT f.* FROM fact_credits f JOIN credit_history h ON h.query_id = f.query_id
+        WHERE h.start_time >= {RECENT}""",
+    "scan_other_database": f"""SELECT * REPLACE ('OTHER' AS database_name) FROM credit_history
+        WHERE total_elapsed_time % 3 = 0 AND query_text NOT LIKE '%{TRACKING}%'""",
+    "tracking_union_older": f"""SELECT * FROM executions UNION ALL SELECT * REPLACE (NULL AS node_config, NULL AS {VER},
+        NULL AS query_id) FROM executions""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(body) for name, body in BODIES.items()}

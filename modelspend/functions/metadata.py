@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelspend import schemas as S
+from modelspend.functions.run_ids import with_run_ids
 from modelspend.functions.tracking_json import json_member, json_object
 
 # Comment patterns per history flavour (group 1 is the JSON text).
@@ -74,13 +75,13 @@ def query_comment_json(
 ) -> Column:
     """The comment JSON for one statement.
 
-    Absent invocation and job ids are left out; the run id is written only next
+    Absent or empty invocation and job ids are left out; the run id is written only next
     to a job id.  ``node`` is a struct (unique_id, name, package_name, database,
     schema, identifier); without one the statement is marked internal.
     """
 
     def optional(name: str, value: Column) -> Column:
-        return F.when(value.isNotNull(), json_member(name, value))
+        return F.when(value != "", json_member(name, value))
 
     internal = json_member("node_id", F.lit(INTERNAL_NODE))
     if node is None:
@@ -101,12 +102,25 @@ def query_comment_json(
     members = [
         optional("invocation_id", invocation_id),
         optional(S.JOB_ID, job_id),
-        F.when(job_id.isNotNull(), json_member(S.RUN_ID, run_id, True)),
+        F.when(job_id != "", json_member(S.RUN_ID, run_id, True)),
         *node_members,
     ]
     return json_object(*members)
 
 
+def with_run_comment(df: DataFrame, sql: str, node: str, out: str = "query_text") -> DataFrame:
+    """Prefix statements with their run's comment, ids as the run is recorded with.
+
+    The rows have the run's ``invocation_id``, ``run_started_at`` and given run and job id;
+    ``node`` names the struct column of :func:`query_comment_json`, NULL for internal statements.
+    """
+    ids = with_run_ids(df)
+    comment = query_comment_json(
+        invocation_id=F.col("invocation_id"), job_id=F.col(S.JOB_ID), run_id=F.col(S.RUN_ID), node=F.col(node)
+    )
+    return with_query_comment(ids, sql, comment, out)
+
+
 def with_query_comment(df: DataFrame, sql: str, comment: Column, out: str = "query_text") -> DataFrame:
     """Prefix the statement in column ``sql`` with its metadata comment."""
     return df.withColumn(out, F.concat(F.lit("/* "), comment, F.lit(" */ "), F.col(sql)))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from modelspend import schemas as S
 from modelspend.functions.expressions import lit_timestamp
+from modelspend.functions.run_ids import with_run_ids
 from modelspend.functions.tracking_json import node_config_json, run_context_json
 
 OWN_PACKAGES = ("modelspend",)
-RUN_ID_FORMAT = "yyyyMMdd_HHmmss_SSS"  # fixed value: run start, to the millisecond
 
 
 def or_null(value: Column) -> Column:
@@ -20,14 +20,6 @@ def or_null(value: Column) -> Column:
     return F.nullif(value, F.lit(S.NONE_MARKER))
 
 
-def run_id(given: Column, run_started_at: Column) -> Column:
-    return F.coalesce(given, F.date_format(run_started_at, RUN_ID_FORMAT))
-
-
-def job_id(given: Column, invocation_id: Column) -> Column:
-    return F.coalesce(given, invocation_id)
-
-
 def ingest_executions(
     results: DataFrame,
     insert_timestamp: datetime | None = None,
@@ -50,7 +42,7 @@ def ingest_executions(
         & node["resource_type"].isin(*S.TRACKED_RESOURCE_TYPES)
         & ~node["package_name"].isin(*own_packages)
     )
-    return results.filter(kept).select(
+    return with_run_ids(results.filter(kept)).select(
         node["name"].alias("model_name"),
         node["unique_id"].alias("relation_name"),
         node["package_name"].alias("model_package"),
@@ -60,8 +52,8 @@ def ingest_executions(
         "invocation_id",
         F.coalesce(F.col("adapter_response")["query_id"], F.lit(S.NONE_MARKER)).alias("query_id"),
         stamp.alias("insert_timestamp"),
-        run_id(F.col(S.RUN_ID), F.col("run_started_at")).alias(S.RUN_ID),
-        job_id(F.col(S.JOB_ID), F.col("invocation_id")).alias(S.JOB_ID),
+        S.RUN_ID,
+        S.JOB_ID,
         or_null(F.col(S.PROJECT_ID)).alias(S.PROJECT_ID),
         S.VERSION,
         "run_started_at",
@@ -72,13 +64,10 @@ def ingest_executions(
 
 def ingest_job_runs(environments: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """One tracking row per run environment, with its context as JSON; ``carried`` columns are passed on."""
-    ids = {
-        S.RUN_ID: run_id(F.col(S.RUN_ID), F.col("run_started_at")),
-        S.JOB_ID: job_id(F.col(S.JOB_ID), F.col("invocation_id")),
-    }
-    context = {key: ids.get(key, F.col(key)) for key in S.RUN_CONTEXT_KEYS}
-    return environments.filter(F.col("command").isin(*S.TRACKED_COMMANDS)).select(
-        *[value.alias(name) for name, value in ids.items()],
+    context = {key: F.col(key) for key in S.RUN_CONTEXT_KEYS}
+    return with_run_ids(environments.filter(F.col("command").isin(*S.TRACKED_COMMANDS))).select(
+        S.RUN_ID,
+        S.JOB_ID,
         or_null(F.col(S.ENVIRONMENT_ID)).alias(S.ENVIRONMENT_ID),
         or_null(F.col(S.PROJECT_ID)).alias(S.PROJECT_ID),
         run_context_json(context).alias(S.RUN_CONTEXT),

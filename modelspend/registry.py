@@ -288,6 +288,29 @@ def execution_query_join_job_provisioned(spark, sf_dir):
     return facts.node_matches(spark, sources, SETTINGS).matched
 
 
+def _own_runs(spark, sf_dir):
+    """Runs recorded and statements tagged from the same runs, most of which have no id of their own."""
+    inputs = X.Inputs(spark, sf_dir)
+    return inputs, ingest.ingest_executions(X.own_run_results(inputs), X.INSERTED_AT)
+
+
+RECORDED = ("query_id", "model_name", S.RUN_ID, S.JOB_ID, "invocation_id", "run_started_at")
+
+
+@query
+def recorded_runs_find_their_statements(spark, sf_dir):
+    inputs, executions = _own_runs(spark, sf_dir)
+    sources = X.Sources(executions=executions, usage_history=X.own_run_usage_history(inputs))
+    return facts.usage_matches(spark, sources, SETTINGS, stages(spark)).left_join().select(*RECORDED)
+
+
+@query
+def recorded_jobs_find_their_statements(spark, sf_dir):
+    inputs, executions = _own_runs(spark, sf_dir)
+    sources = X.Sources(executions=executions, rpu_history=X.own_run_rpu_history(inputs))
+    return facts.rpu_matches(spark, sources, SETTINGS).matched.select(*RECORDED)
+
+
 # ------------------------------------------------------------------- allocation
 
 

@@ -11,9 +11,11 @@ from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from modelspend import schemas as S
 from modelspend.config import Settings, Sources
+from modelspend.functions.metadata import with_run_comment
 
 SETTINGS = Settings(
     monitor_start=datetime(2024, 1, 1),
@@ -154,7 +156,11 @@ def job_runs(inputs: Inputs) -> DataFrame:
 
 
 def usage_history(inputs: Inputs) -> DataFrame:
-    return inputs.events.selectExpr(
+    return _usage_history(inputs.events, STATEMENT_TEXT)
+
+
+def _usage_history(events: DataFrame, text: str) -> DataFrame:
+    return events.selectExpr(
         "concat('q', event_id) AS statement_id",
         "concat('user_', user_id) AS executed_by",
         "'sql' AS client_application",
@@ -169,7 +175,7 @@ def usage_history(inputs: Inputs) -> DataFrame:
         "event_id * 1000 AS read_bytes",
         "event_id % 1000 AS produced_rows",
         "event_id % 7 * 1048576 AS written_bytes",
-        f"{STATEMENT_TEXT} AS statement_text",
+        f"{text} AS statement_text",
         "CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'FINISHED' END AS execution_status",
     )
 
@@ -257,9 +263,13 @@ def jobs(inputs: Inputs) -> DataFrame:
 
 
 def rpu_history(inputs: Inputs) -> DataFrame:
-    return inputs.events.selectExpr(
+    return _rpu_history(inputs.events, STATEMENT_TEXT)
+
+
+def _rpu_history(events: DataFrame, text: str) -> DataFrame:
+    return events.selectExpr(
         "event_id AS query_id",
-        f"{STATEMENT_TEXT} AS query_text",
+        f"{text} AS query_text",
         "'shop' AS database_name",
         "ms * 1000 AS elapsed_time",
         "ms * 900 AS execution_time",
@@ -294,9 +304,10 @@ def node_history(inputs: Inputs) -> DataFrame:
 COMMANDS = ", ".join(f"'{c}'" for c in (*S.TRACKED_COMMANDS, "docs"))
 
 
-def run_results(inputs: Inputs) -> DataFrame:
+def run_results(inputs: Inputs, extra: tuple[str, ...] = ()) -> DataFrame:
     """One result per event, over all commands and node types, some of the engine's own."""
     return inputs.events.selectExpr(
+        *extra,
         f"array({COMMANDS})[cast(user_id % 5 AS int)] AS command",
         "inv AS invocation_id",
         "ts AS run_started_at",
@@ -322,6 +333,38 @@ def run_results(inputs: Inputs) -> DataFrame:
     )
 
 
+# A run of its own for every event; some have no run id, some no job id, some neither.
+OWN_RUN = {
+    "invocation_id": "concat('inv_', event_id)",
+    S.RUN_ID: "CASE WHEN dom % 2 = 0 THEN concat('run_', event_id) END",
+    S.JOB_ID: "CASE WHEN dom % 3 = 0 THEN concat('job_', event_id) END",
+}
+
+
+def own_run_results(inputs: Inputs) -> DataFrame:
+    """The run results, each of a run of its own."""
+    results = run_results(inputs, ("event_id", "dom"))
+    return results.withColumns({key: F.expr(sql) for key, sql in OWN_RUN.items()}).drop("event_id", "dom")
+
+
+def own_run_statements(inputs: Inputs) -> DataFrame:
+    """Each event's statement with the comment its run writes; errors come from outside of any node."""
+    node = """CASE WHEN event_type <> 'error' THEN named_struct('unique_id', node_id, 'name', model, 'package_name', 'shop',
+        'database', 'shop', 'schema', 'main', 'identifier', model) END AS node"""
+    runs = inputs.events.selectExpr(
+        "*", "ts AS run_started_at", *[f"{sql} AS {key}" for key, sql in OWN_RUN.items()], node, f"{STATEMENT_BODY} AS body"
+    )
+    return with_run_comment(runs, "body", "node", "tagged")
+
+
+def own_run_usage_history(inputs: Inputs) -> DataFrame:
+    return _usage_history(own_run_statements(inputs), "tagged")
+
+
+def own_run_rpu_history(inputs: Inputs) -> DataFrame:
+    return _rpu_history(own_run_statements(inputs), "tagged")
+
+
 def run_environments(inputs: Inputs) -> DataFrame:
     """One environment per event; odd days run outside the hosted scheduler."""
     hosted = (

@@ -491,7 +491,23 @@ BODIES: dict[str, str] = {
 }
 
 
+# Runs of their own: the ids as one expects them, not as they are written and read.
+CTES["own_runs"] = f"""SELECT event_id, event_type, model, node_id, ts, 'inv_' || event_id AS own_inv,
+    CASE WHEN dom % 2 = 0 THEN 'run_' || event_id ELSE substr(strftime(ts, '%Y%m%d_%H%M%S_%f'), 1, 19) END AS own_run,
+    CASE WHEN dom % 3 = 0 THEN 'job_' || event_id ELSE 'inv_' || event_id END AS own_job,
+    {TRACKED} AND package <> 'modelspend' AND resource IN ('model', 'test', 'snapshot', 'unit_test') AS is_tracked
+    FROM results"""
+CTES["own_statements"] = f"""SELECT * FROM own_runs WHERE event_type <> 'error' AND ts >= {START}"""
+OWN_PAIR = """s.model = e.model AND s.node_id = e.node_id AND s.ts >= e.ts AND s.ts <= TIMESTAMP '2024-02-01 12:30:00'"""
+OWN_COLUMNS = f"""e.model AS model_name, e.own_run AS {RUN}, e.own_job AS {JOB}, e.own_inv AS invocation_id,
+    e.ts AS run_started_at"""
+
 BODIES |= {
+    "recorded_runs_find_their_statements": f"""SELECT 'q' || s.event_id AS query_id, {OWN_COLUMNS} FROM own_runs e
+        LEFT JOIN own_statements s ON s.own_run = e.own_run AND s.own_inv = e.own_inv AND {OWN_PAIR}
+        AND s.event_id % 13 <> 0 WHERE e.is_tracked""",
+    "recorded_jobs_find_their_statements": f"""SELECT s.event_id AS query_id, {OWN_COLUMNS} FROM own_runs e
+        JOIN own_statements s ON s.own_job = e.own_job AND {OWN_PAIR} WHERE e.is_tracked""",
     "append_executions": BODIES["ingest_executions"],
     "append_job_runs": BODIES["ingest_job_runs"],
     "scan_dated_history": f"SELECT * FROM usage_scan WHERE start_time >= {RECENT}",

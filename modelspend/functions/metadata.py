@@ -48,18 +48,22 @@ def variant_text(variant: Column, key: str) -> Column:
     return F.try_variant_get(variant, f"$.{key}", "string")
 
 
+def json_pair(raw: Column) -> Column:
+    """Text as the first of two elements of a JSON array, parsed; NULL if that is no JSON."""
+    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"end"]')))
+
+
+def is_alone(pair: Column) -> Column:
+    """Was the text one whole value?  Anything after it breaks the array or moves its end mark."""
+    return (F.try_variant_get(pair, "$[1]", "string") == "end") & F.try_variant_get(pair, "$[2]", "string").isNull()
+
+
 def guarded_comment_json(
     text: Column, pattern: str = SPACED_OBJECT_COMMENT_PATTERN, mode: str = "reference"
 ) -> Column:
-    """The comment's JSON text if it is one whole JSON value, else NULL.
-
-    The parser ignores what follows a value, so the text is parsed as the first of
-    two elements: anything after it breaks the array or moves its end mark.
-    """
+    """The comment's JSON text if it is one whole JSON value, else NULL; the parser alone ignores what follows a value."""
     raw = comment_json(text, pattern, mode)
-    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"end"]')))
-    alone = (F.try_variant_get(pair, "$[1]", "string") == "end") & F.try_variant_get(pair, "$[2]", "string").isNull()
-    return F.when(alone, raw)
+    return F.when(is_alone(json_pair(raw)), raw)
 
 
 def json_text(json: Column, key: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from modelspend.functions import costs
 from modelspend.functions.expressions import compute_resource, lit_date, overlap_seconds, whole_seconds_between
-from modelspend.operators.intervals import HOUR, MINUTE, Span, interval_join, levels_in_use, without_match
+from modelspend.operators.intervals import HOUR, MINUTE, Span, interval_join, without_match
 from modelspend.sources.staging import unstaged
 
 PERIOD_COLUMNS = [
@@ -23,6 +23,7 @@ PERIOD_COLUMNS = [
     "sku_name",
     "billing_origin_product",
 ]
+PERIOD_ID = "period_id"
 PERIOD = Span("usage_start_time", "usage_end_time")
 QUERY = Span("start_time", "end_time")
 QUERY_COLUMNS = ["statement_id", "workspace_id", "resource_id", "start_time", "end_time"]
@@ -127,44 +128,47 @@ def price_usage(usage: DataFrame, prices: DataFrame, as_of: date) -> DataFrame:
     return usage.join(valid, F.col("sku_name") == F.col("_price_sku"), "left").drop("_price_sku")
 
 
+def with_period_id(periods: DataFrame) -> DataFrame:
+    """Add ``period_id``, 128 bits that tell periods apart."""
+    spelled = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in PERIOD_COLUMNS]), {"ignoreNullFields": "false"})
+    return periods.withColumn(PERIOD_ID, F.unhex(F.md5(spelled)))
+
+
 def allocate_usage(
     queries: DataFrame,
     periods: DataFrame,
-    totals: DataFrame | None = None,
+    price: Callable[[DataFrame], DataFrame] = unstaged,
     stage: Callable[[DataFrame], DataFrame] = unstaged,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Each query's share of every usage period it overlaps.
 
-    ``totals`` are the :func:`usage_period_totals` of ``periods``, possibly with a
-    unit price added.  A query that overlaps no period keeps one row with zero
-    usage.  The shares are read twice, to return them and to find those queries;
-    ``stage`` may store them.
+    The (period, query) pairs are found once, as a narrow table of period ids and
+    query columns; the totals are added up from it and joined back by period.
+    ``price`` may add columns to the periods, of which there are far fewer than shares.
+    A query that overlaps no period keeps one row with zero usage.  All queries count in the
+    totals; ``only`` (one ``query_id`` column, no duplicates) restricts the result to
+    those queries.  The pairs are read three times; ``stage`` may store them.
     """
-    if totals is None:
-        totals = usage_period_totals(periods, queries)
-    extra = [c for c in totals.columns if c not in (*PERIOD_COLUMNS, "total_query_execution_seconds")]
-    pairs = interval_join(
-        totals,
-        queries,
-        small_span=PERIOD,
-        large_span=QUERY,
-        condition=_overlaps(),
-        on=SAME_RESOURCE,
-        width=HOUR,
-        small_levels=levels_in_use(periods, PERIOD, HOUR),
+    identified = with_period_id(periods)
+    pairs = stage(usage_overlap_pairs(identified, queries).select(PERIOD_ID, *QUERY_COLUMNS, "overlap_seconds"))
+    totals = pairs.groupBy(PERIOD_ID).agg(F.sum("overlap_seconds").alias("_seconds"))
+    charges = identified.join(totals, PERIOD_ID).select(
+        PERIOD_ID, "sku_name", "usage_quantity", (F.col("_seconds") * F.col("copies")).alias("_total")
     )
-    shares = stage(
-        pairs.select(
-            *QUERY_COLUMNS,
-            "sku_name",
-            *extra,
-            costs.usage_share(
-                F.col("usage_quantity"), _shared_seconds(), F.col("total_query_execution_seconds")
-            ).alias("dbus_consumed"),
-        )
+    charges = price(charges)
+    extra = [c for c in charges.columns if c not in (PERIOD_ID, "sku_name", "usage_quantity", "_total")]
+    wanted, mine = pairs, queries
+    if only is not None:
+        wanted, mine = (df.join(only, F.col("statement_id") == F.col("query_id"), "left_semi") for df in (pairs, queries))
+    shares = wanted.join(charges, PERIOD_ID).select(
+        *QUERY_COLUMNS,
+        "sku_name",
+        *extra,
+        costs.usage_share(F.col("usage_quantity"), F.col("overlap_seconds"), F.col("_total")).alias("dbus_consumed"),
     )
     unshared = without_match(
-        queries, shares, decided_by=["resource_id", "workspace_id", "start_time", "end_time"]
+        mine, pairs, decided_by=["resource_id", "workspace_id", "start_time", "end_time"]
     ).withColumn("dbus_consumed", F.lit(0.0))
     return shares.unionByName(unshared, allowMissingColumns=True)
 

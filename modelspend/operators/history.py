@@ -22,9 +22,10 @@ def incremental_upsert(target: DataFrame, source: DataFrame, key: str, ts: str)
     """The target with source rows above its highest ``ts`` inserted, or replacing their key.
 
     The highest ``ts`` is a scalar subquery, so it becomes a pushed-down bound on
-    the source scan.  An empty target has none and takes nothing.
+    the source scan.  A target without one, as before its first load, takes all rows.
     """
-    fresh = source.filter(F.col(ts) > target.agg(F.max(ts)).scalar())
+    highest = target.agg(F.max(ts)).scalar()
+    fresh = source.filter(highest.isNull() | (F.col(ts) > highest))
     replaced = fresh.select(F.col(key).alias("_key"))
     kept = target.join(replaced, F.col(key) == F.col("_key"), "left_anti")
     return kept.unionByName(fresh)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modelspend import schemas as S
-from modelspend.functions.metadata import comment_json, guarded_comment_json
+from modelspend.functions.metadata import comment_json, is_alone, json_pair
 from modelspend.operators.intervals import HOUR, Span, interval_join, without_match
 from modelspend.sources.staging import unstaged
 
@@ -85,6 +85,16 @@ def match_executions(
     return Matches(executions, pairs, (*keys, "run_started_at", "insert_timestamp"))
 
 
+def within_runs(history: DataFrame, at: str, executions: DataFrame) -> DataFrame:
+    """Statements that started while any execution ran: no other can match one.
+
+    The bounds are scalar subqueries over two columns of the executions, so they reach the scan
+    and spare the search of the text.
+    """
+    first, last = executions.agg(F.min("run_started_at")), executions.agg(F.max("insert_timestamp"))
+    return history.filter((F.col(at) >= first.scalar()) & (F.col(at) <= last.scalar()))
+
+
 def with_metadata(
     history: DataFrame, text: str, keys: dict[str, str], pattern: str, mode: str, guarded: bool = False
 ) -> DataFrame:
@@ -96,6 +106,11 @@ def with_metadata(
     """
     wanted = list(dict.fromkeys([*keys.values(), "node_id"]))
     fields = T.StructType([S.QUERY_METADATA[key] for key in wanted])
-    read = guarded_comment_json if guarded else comment_json
-    parsed = F.from_json(read(F.col(text), pattern, mode), fields)
-    return history.select("*", F.inline(F.array(parsed)).alias(*[f"{META}{key}" for key in wanted]))
+    raw = f"{META}json"
+    found = history.withColumn(raw, comment_json(F.col(text), pattern, mode))
+    if guarded:
+        # columns of their own, so the text is searched and the JSON checked once per row
+        found = found.withColumn(f"{META}pair", json_pair(F.col(raw)))
+        found = found.withColumn(raw, F.when(is_alone(F.col(f"{META}pair")), F.col(raw))).drop(f"{META}pair")
+    parsed = F.from_json(F.col(raw), fields)
+    return found.select(*history.columns, F.inline(F.array(parsed)).alias(*[f"{META}{key}" for key in wanted]))

@@ -4,7 +4,7 @@ Every function takes the session, the sources and the settings and returns a
 DataFrame.  Statement text is read once, and leaves the plan as soon as its
 metadata has been parsed unless the fact shows it.  Where a fact reads an
 intermediate result twice, ``stage`` stores it in the session's shared folder;
-pass ``unstaged`` for a wholly lazy plan.
+nothing is stored by default.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from modelspend.operators.allocation import (
     charged_seconds_per_query,
     price_usage,
     query_spans,
-    usage_period_totals,
     usage_periods,
 )
 from modelspend.operators.matching import (
@@ -40,6 +39,7 @@ from modelspend.operators.matching import (
     Matches,
     match_executions,
     with_metadata,
+    within_runs,
 )
 from modelspend.plans import histories
 from modelspend.plans.tracking import eligible_executions, tracking_union
@@ -76,7 +76,9 @@ def usage_matches(
     spark: SparkSession, sources: Sources, settings: Settings, stage: Stage = unstaged
 ) -> Matches:
     """Executions and their finished statements, by run and invocation."""
+    executions = _executions(spark, sources, S.RUN_ID)
     history = histories.usage_history(sources.load(spark, "usage_history", settings.monitor_start), settings)
+    history = within_runs(history, "start_time", executions)
     tagged = with_metadata(
         history.filter(~mentions(F.col("query_text"), settings.tracking_table)),
         "query_text",
@@ -88,13 +90,15 @@ def usage_matches(
         tagged, "start_time", F.col("statement_id").alias("query_id"), *USAGE_STATEMENT_COLUMNS
     )
     return match_executions(
-        _executions(spark, sources, S.RUN_ID), statements, BY_RUN_AND_INVOCATION, stage
+        executions, statements, BY_RUN_AND_INVOCATION, stage
     )
 
 
 def credit_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and their statements, by job and run."""
+    executions = _executions(spark, sources, S.JOB_ID)
     history = histories.credit_history(sources.load(spark, "credit_history", settings.monitor_start), settings)
+    history = within_runs(history, "start_time", executions)
     tagged = with_metadata(
         history, "query_text", BY_JOB_AND_RUN, OBJECT_COMMENT_PATTERN, settings.metadata_mode
     )
@@ -110,12 +114,14 @@ def credit_matches(spark: SparkSession, sources: Sources, settings: Settings) ->
         F.col("execution_time").alias(S.CREDIT_EXECUTION_TIME),
         F.col("start_time").alias("query_start_time"),
     )
-    return match_executions(_executions(spark, sources, S.JOB_ID), statements, BY_JOB_AND_RUN)
+    return match_executions(executions, statements, BY_JOB_AND_RUN)
 
 
 def job_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and their query jobs, by run and invocation, at creation time."""
+    executions = _executions(spark, sources, S.JOB_ID)
     history = histories.jobs(sources.load(spark, "jobs", settings.monitor_start), settings)
+    history = within_runs(history, "creation_time", executions)
     tagged = with_metadata(
         history, "query", BY_RUN_AND_INVOCATION, COMMENT_PATTERN, settings.metadata_mode
     )
@@ -132,12 +138,14 @@ def job_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Ma
         F.col("start_time").alias("query_start_time"),
         F.col("end_time").alias("query_end_time"),
     )
-    return match_executions(_executions(spark, sources, S.JOB_ID), statements, BY_RUN_AND_INVOCATION)
+    return match_executions(executions, statements, BY_RUN_AND_INVOCATION)
 
 
 def rpu_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and serverless statements, by job alone; the run's time range keeps them apart."""
+    executions = _executions(spark, sources, S.JOB_ID)
     history = histories.rpu_history(sources.load(spark, "rpu_history", settings.monitor_start), settings)
+    history = within_runs(history, "start_time", executions)
     tagged = with_metadata(
         history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode, guarded=True
     )
@@ -150,12 +158,14 @@ def rpu_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Ma
         F.col("execution_time").alias("query_execution_time"),
         "queue_time",
     )
-    return match_executions(_executions(spark, sources, S.JOB_ID), statements, BY_JOB)
+    return match_executions(executions, statements, BY_JOB)
 
 
 def node_matches(spark: SparkSession, sources: Sources, settings: Settings) -> Matches:
     """Executions and statements of a provisioned cluster, by job alone."""
+    executions = _executions(spark, sources, S.JOB_ID)
     history = histories.node_history(sources.load(spark, "node_history", settings.monitor_start), settings)
+    history = within_runs(history, "start_time", executions)
     tagged = with_metadata(
         history, "query_text", BY_JOB, SPACED_OBJECT_COMMENT_PATTERN, settings.metadata_mode, guarded=True
     )
@@ -169,7 +179,7 @@ def node_matches(spark: SparkSession, sources: Sources, settings: Settings) -> M
         "end_time",
         "duration_seconds",
     )
-    return match_executions(_executions(spark, sources, S.JOB_ID), statements, BY_JOB)
+    return match_executions(executions, statements, BY_JOB)
 
 
 def usage_costs(
@@ -186,16 +196,13 @@ def usage_costs(
     periods, of which there are far fewer than shares.
     """
     history = histories.usage_history(sources.load(spark, "usage_history", settings.monitor_start), settings)
-    queries = query_spans(history)
-    periods = usage_periods(
-        histories.billing_usage(sources.load(spark, "billing_usage", settings.monitor_start), settings)
-    )
-    priced = price_usage(
-        usage_period_totals(periods, queries), sources.load(spark, "list_prices"), settings.as_of
-    )
-    if only is not None:
-        queries = queries.join(only, F.col("statement_id") == F.col("query_id"), "left_semi")
-    return allocate_usage(queries, periods, priced, stage).select(
+    usage = histories.billing_usage(sources.load(spark, "billing_usage", settings.monitor_start), settings)
+    prices = sources.load(spark, "list_prices")
+
+    def price(charges: DataFrame) -> DataFrame:
+        return price_usage(charges, prices, settings.as_of)
+
+    return allocate_usage(query_spans(history), usage_periods(usage), price, stage, only).select(
         "statement_id",
         "sku_name",
         "dbus_consumed",
@@ -301,7 +308,7 @@ def _most_expensive_first(fact: DataFrame, then_by: str, stage: Stage) -> DataFr
     ``stage`` that stores the fact first lets the histories be read once.  The ids
     order statements of equal cost, so no range of the sort holds all of them.
     """
-    ties = ("query_id", *S.FACT_EXECUTION_COLUMNS)
+    ties = ("query_id", "invocation_id", "model_name")
     return stage(fact).orderBy(F.desc("estimated_cost_usd"), F.desc(then_by), *ties)
 
 

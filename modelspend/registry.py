@@ -17,6 +17,7 @@ from modelspend.functions.tracking_json import node_config_json
 from modelspend.operators import allocation as A
 from modelspend.operators import history as H
 from modelspend.operators import quality as Q
+from modelspend.operators import stored_history as T
 from modelspend.plans import facts, histories, ingest, reports, tracking
 from modelspend.sources import fixtures as X
 from modelspend.sources.staging import CHECKPOINT_DIR, WAREHOUSE_DIR, Stages, unstaged
@@ -563,8 +564,7 @@ def _orders(spark, sf_dir):
     )
 
 
-@query
-def incremental_upsert(spark, sf_dir):
+def _upsert_input(spark, sf_dir):
     """Orders as first loaded until their middle date, then all orders with later changes."""
     orders = _orders(spark, sf_dir)
     target = orders.filter("updated_at < timestamp_ntz'1996-07-01 00:00:00'")
@@ -575,9 +575,36 @@ def incremental_upsert(spark, sf_dir):
         "o_orderpriority",
         f"CASE WHEN {urgent} THEN timestampadd(DAY, 400, updated_at) ELSE updated_at END AS updated_at",
     )
+    return target, source
+
+
+@query
+def incremental_upsert(spark, sf_dir):
+    target, source = _upsert_input(spark, sf_dir)
     return H.incremental_upsert(target, source, "o_orderkey", "updated_at")
 
 
+@query
+def upsert_stored(spark, sf_dir):
+    """The same upsert of a stored table: a first load, then the buckets that change."""
+    folder = Stages(spark, new_folder(spark))
+    path = f"{folder.folder}/orders"
+    for source in _upsert_input(spark, sf_dir):
+        T.upsert_stored(spark, path, source, "o_orderkey", "updated_at", folder, buckets=8)
+    return T.read_buckets(spark, path).drop(T.BUCKET)
+
+
+@query
+def snapshot_stored(spark, sf_dir):
+    """Two runs of a stored history: the settled orders, then all orders with later changes."""
+    folder = Stages(spark, new_folder(spark))
+    path = f"{folder.folder}/orders"
+    orders, (_, later) = _orders(spark, sf_dir), _snapshot_input(spark, sf_dir)
+    for run, source in (("first", orders.filter("o_orderstatus <> 'P'")), ("second", later)):
+        T.snapshot_stored_by_timestamp(spark, path, source, "o_orderkey", "updated_at", run, folder, buckets=8)
+    return T.read_history(spark, path)
+
+
 def _snapshot_input(spark, sf_dir):
     """A first snapshot of the orders that are not pending, and all orders as of later."""
     orders = _orders(spark, sf_dir)

@@ -508,6 +508,12 @@ BODIES |= {
         AND s.event_id % 13 <> 0 WHERE e.is_tracked""",
     "recorded_jobs_find_their_statements": f"""SELECT s.event_id AS query_id, {OWN_COLUMNS} FROM own_runs e
         JOIN own_statements s ON s.own_job = e.own_job AND {OWN_PAIR} WHERE e.is_tracked""",
+    "upsert_stored": BODIES["incremental_upsert"],
+    "snapshot_stored": """SELECT o.*, o.updated_at AS valid_from,
+        CASE WHEN l.updated_at > o.updated_at THEN l.updated_at END AS valid_to
+        FROM o JOIN o_later l USING (o_orderkey) WHERE o.o_orderstatus <> 'P'
+        UNION ALL SELECT l.*, l.updated_at AS valid_from, NULL::TIMESTAMP AS valid_to FROM o_later l
+        JOIN o USING (o_orderkey) WHERE o.o_orderstatus = 'P' OR l.updated_at > o.updated_at""",
     "append_executions": BODIES["ingest_executions"],
     "append_job_runs": BODIES["ingest_job_runs"],
     "scan_dated_history": f"SELECT * FROM usage_scan WHERE start_time >= {RECENT}",

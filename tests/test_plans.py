@@ -105,3 +105,25 @@ def test_metadata_is_parsed_once_per_row(spark, stored):
 def test_tracking_columns_are_pruned(spark, stored):
     (scan, *_) = scans(plan(facts.credit_matches(spark, stored, B.SETTINGS).matched), "executions")
     assert "node_config" not in scan and S.PROJECT_ID not in scan
+
+
+def test_usage_overlaps_are_joined_once(spark, stored):
+    """With stages the fact joins its executions once and its usage periods once, and each pair set is stored."""
+    written = []
+
+    def stage(df):
+        written.append(plan(df))
+        return shared_stages(spark)(df)
+
+    rest = plan(facts.fact_usage_split(spark, stored, B.SETTINGS, stage))
+    assert len(written) == 2
+    assert all(len(re.findall(r"^\(\d+\) (?:\w*HashJoin|SortMergeJoin)", text, re.M)) == 1 for text in written)
+    assert not scans(rest, "billing_usage") or "inline" not in rest
+    assert "statement_text" not in written[1]
+
+
+def test_runs_bound_the_history_before_its_text_is_searched(spark, stored):
+    text = plan(facts.node_matches(spark, stored, B.SETTINGS).matched)
+    blocks = text.split("\n\n")
+    (at,) = [i for i, block in enumerate(blocks) if "Scan parquet" in block and "/node_history]" in block]
+    assert blocks[at + 1].count("ubquery") >= 2 and ") Filter" in blocks[at + 1]

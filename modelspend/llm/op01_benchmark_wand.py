@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelspend.llm.shared import joined_bytes, read_table, stage, text_blocks
+from modelspend.llm.shared import free_name, joined_bytes, read_table, stage, text_blocks
 from modelspend.llm.words import ALNUM, LOWER, hash_of_bytes, prefix_sums, span_hashes, word_bounds
 
 K1, B = 1.2, 0.75
@@ -359,10 +359,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` with no leak; rows of a null doc_id are told by their text."""
-    keyed = docs.withColumn("_leak_key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")), "text"))
-    leaks = contaminated(keyed.select(F.col("_leak_key").alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
-    leaks = stage(leaks, "leaks").withColumnRenamed("doc_id", "_leak_key")
-    return keyed.join(leaks, "_leak_key", "left_anti").drop("_leak_key")
+    key = free_name(docs, "leak_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00")), "text"))
+    leaks = contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark).select("doc_id").distinct()
+    leaks = stage(leaks, "leaks").withColumnRenamed("doc_id", key)
+    return keyed.join(leaks, key, "left_anti").select(*docs.columns)
 
 
 def op1_benchmark_wand(spark: SparkSession, sf_dir: str) -> DataFrame:

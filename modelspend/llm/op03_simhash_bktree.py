@@ -35,8 +35,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from modelspend.llm.shared import read_table, stage, text_blocks
+from modelspend.llm.shared import free_name, read_table, stage, text_blocks
 
 SHINGLE = 4
 SEED = 42
@@ -86,8 +87,8 @@ def fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, print) of every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(fingerprint_rows, f"doc_id {kind}, print bigint")
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("print", T.LongType())])
+    return docs.select("doc_id", "text").mapInArrow(fingerprint_rows, schema)
 
 
 # ------------------------------------------------------------------------ trees
@@ -252,10 +253,23 @@ def group_documents(docs: DataFrame) -> DataFrame:
     return rows.join(named.join(names, "root").select("print", "component_id"), "print")
 
 
-def duplicates(docs: DataFrame) -> DataFrame:
-    """doc_ids of all documents but the first of each component."""
-    grouped = group_documents(docs)
-    return grouped.filter("doc_id <> component_id").select("doc_id")
+def first_rows(docs: DataFrame) -> DataFrame:
+    """One whole row of each component: that of the smallest doc_id, rows without one last, of equal ids any one.
+
+    Rows are told apart by a number that is stored with them, so equal rows, rows without id and
+    an id on several texts are rows of their own.
+    """
+    row = free_name(docs, "row")
+    stored = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    keyed = stored.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row")).alias("doc_id"), "text")
+    rows = stage(fingerprints(keyed), "prints")
+    # equal fingerprints are one entry before anything is joined
+    distinct = stage(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
+    roots = components(links(distinct.select("print"))).withColumnRenamed("node", "print")
+    rooted = distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    gone = stage(rows.select("doc_id.row").join(kept, "row", "left_anti"), "copies").withColumnRenamed("row", row)
+    return stored.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def op3_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:

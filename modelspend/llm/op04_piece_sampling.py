@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from modelspend.llm.shared import joined_bytes, read_table, text_blocks
+from modelspend.llm.shared import free_name, joined_bytes, read_table, text_blocks
 from modelspend.llm.words import mix, prefix_sums, span_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -356,8 +357,10 @@ def encoder(model: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
         for block in text_blocks(batches, BLOCK_BYTES):
-            data, bounds = joined_bytes(block.column("text"))
-            keys = mix(np.array(block.column("row_key")).view(np.uint64) + np.uint64(SEED))
+            # the text and the key come last, whatever the other columns are called
+            carried, text, key = block.columns[:-2], *block.columns[-2:]
+            data, bounds = joined_bytes(text)
+            keys = mix(np.array(key).view(np.uint64) + np.uint64(SEED))
             ids, limits = encode_texts(data, bounds, keys, vocab)
             back, ends = decode_pieces(ids, vocab)
             ends = np.concatenate([[0], ends])[limits]
@@ -369,14 +372,14 @@ def encoder(model: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 same[i] = decoded[ends[i] + 1 : ends[i + 1]] == own[bounds[i] : bounds[i + 1]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[block.column(c) for c in block.schema.names if c not in ("text", "row_key")],
+                    *carried,
                     pa.ListArray.from_arrays(pa.array(limits.astype(np.int32)), pa.array(ids)),
                     pa.array(np.diff(limits)),
                     pa.array(digest, pa.string()),
                     pa.array(same),
                 ],
                 names=[
-                    *[c for c in block.schema.names if c not in ("text", "row_key")],
+                    *block.schema.names[:-2],
                     "pieces", "n_pieces", "pieces_sha256", "lossless",
                 ],
             )
@@ -384,12 +387,27 @@ def encoder(model: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return encode
 
 
+ENCODED = T.StructType([
+    T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()),
+    T.StructField("pieces_sha256", T.StringType()), T.StructField("lossless", T.BooleanType()),
+])
+
+
 def encode_documents(docs: DataFrame, carried: tuple[str, ...] = ("doc_id",), model: str = MODEL) -> DataFrame:
-    """``carried`` columns, pieces (ids), n_pieces, pieces_sha256 (ids as little-endian 32 bits), lossless of each row."""
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00"))).alias("row_key")
-    own = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
-    schema = f"{own}, pieces array<int>, n_pieces bigint, pieces_sha256 string, lossless boolean"
-    return docs.select(*carried, "text", key).mapInArrow(encoder(model), schema)
+    """``carried`` columns, pieces (ids), n_pieces, pieces_sha256 (ids as little-endian 32 bits), lossless of each row.
+
+    A carried column named like one of these four takes underscores at its end.
+    """
+    fields, columns = [], []
+    for c in carried:
+        name = c
+        while name in ENCODED.names or (name != c and name in carried):
+            name += "_"
+        fields.append(T.StructField(name, docs.schema[c].dataType))
+        columns.append(F.col(f"`{c}`").alias(name))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("\x00"))).alias(free_name(docs, "row_key"))
+    schema = T.StructType([*fields, *ENCODED.fields])
+    return docs.select(*columns, "text", key).mapInArrow(encoder(model), schema)
 
 
 def op4_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:

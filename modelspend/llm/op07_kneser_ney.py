@@ -176,7 +176,7 @@ def sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys and their counts: differences by byte position, compressed."""
+    """Sorted keys and one task's counts, which fit in 32 bits: differences by byte position, compressed."""
     gaps = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
     low = counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=1).compress(gaps.tobytes() + low.tobytes())
@@ -313,6 +313,13 @@ def count_bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 STATS = ("number", "once", "twice", "more", "preceded")
 
 
+def stored_counts(counts: np.ndarray) -> np.ndarray:
+    """Counts as they are stored, in 32 bits; one that needs more is refused instead of wrapped."""
+    if len(counts) and counts.max() >= 1 << 32:
+        raise OverflowError("a bigram occurs over 4294967295 times")
+    return counts.astype(np.uint32)
+
+
 def store_bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Write each shard's bigrams; (part, blobs): by word, the bigrams it begins and ends."""
 
@@ -320,7 +327,7 @@ def store_bigrams(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator
         for shard, columns in by_part(batches):
             keys, counts = sums(*map(np.concatenate, zip(*map(unpack, columns["blob"]), strict=True)))
             write_array(f"{model.folder}/bigram-{shard}", keys)
-            write_array(f"{model.folder}/count-{shard}", counts.astype(np.uint32))
+            write_array(f"{model.folder}/count-{shard}", stored_counts(counts))
             first, second = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
             levels = [np.bincount(np.minimum(counts, 5), minlength=6)]
             begins, place = np.unique(first, return_inverse=True)

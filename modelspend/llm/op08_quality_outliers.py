@@ -4,15 +4,18 @@ Six statistics of each text, transformed to be roughly symmetric, form a vector.
 Per language and source, the minimum-covariance-determinant (MCD) estimate finds
 the centre and scatter of the tightest share ``H`` of the documents: it starts
 from medians and median deviations, then repeats concentration steps (take the
-``H`` nearest by Mahalanobis distance, re-estimate).  Documents beyond the
-chi-square cutoff are rejected, and so are those that fail the fixed rules.
+``H`` nearest by Mahalanobis distance, re-estimate) until no estimate changes, ``STEPS`` at
+most.  Documents beyond the chi-square cutoff are rejected, and so are those that fail the fixed
+rules.  Least deviations keep the scatter regular where most texts have none of a kind; they are low
+enough that any one statistic can reject a text that the fixed rules keep.
 
 Vectors are whole multiples of 1/256, so all sums are exact integers and the
 verdicts don't depend on the order of rows.  "The nearest H" is cut on a fixed
 grid of distances: each step is one aggregation to a bounded number of grid
 cells per source, and no source's rows meet in one task.  Sources with fewer
-than ``MIN_ROWS`` vectors share the estimate of their language's small sources;
-if these are fewer than ``MIN_ROWS`` too, the method rejects nothing.
+than ``MIN_ROWS`` vectors, five for each dimension, share the estimate of their language's small
+sources, and languages with fewer that of all such languages; if these are too few as well, the corpus's
+largest group gives the estimate.
 
 Edge cases: a null text has no words and fails; a null language or source is a
 value of its own; equal rows get equal verdicts; an empty table gives no rows;
@@ -35,12 +38,12 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 SYMBOLS = r"[#*$%&|<>]"
 SCALE = 256
 H = 0.75
-STEPS = 3
-MIN_ROWS = 100
+STEPS = 12
+MIN_ROWS = 30
 CUTOFF = 0.99999
 SALTS = 16
 #: Vector components, and the least standard deviation that an estimate may have.
-FLOORS = {"words": 0.1, "length": 0.05, "symbols": 0.5, "lines": 1.5, "repeats": 1.0, "capitals": 0.5}
+FLOORS = {"words": 0.1, "length": 0.05, "symbols": 0.5, "lines": 0.6, "repeats": 0.55, "capitals": 0.5}
 DIMS = tuple(FLOORS)
 PAIRS = tuple(combinations_with_replacement(range(len(DIMS)), 2))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -152,15 +155,25 @@ def cumulative(key: list[str], order: str, count: str) -> Column:
     return F.sum(count).over(W.partitionBy(*key).orderBy(order).rowsBetween(W.unboundedPreceding, 0))
 
 
-def share_groups(rows: DataFrame) -> DataFrame:
-    """(lang, source, grp): the estimate that a source uses; sources too small even together have none."""
-    counts = rows.groupBy("lang", "source").count()
-    own = F.when(F.col("count") >= MIN_ROWS, F.struct("lang", F.col("source").alias("own"))).otherwise(
-        F.struct("lang", F.lit(None).cast("string").alias("own"))
-    )
-    grouped = counts.select("lang", "source", "count", own.alias("grp"))
-    whole = F.sum("count").over(W.partitionBy("grp"))
-    return grouped.withColumn("whole", whole).filter(F.col("whole") >= MIN_ROWS).select("lang", "source", "grp", "whole")
+#: Stands for the language of languages with few rows.
+REST = "\x01"
+
+
+def share_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, grp, whole) of the rows that make an estimate, and (lang, source, grp): the estimate that each source uses."""
+    counts = stage(rows.groupBy("lang", "source").count(), "quality-counts")
+    grp = lambda lang, own: F.struct(lang.alias("lang"), own.cast("string").alias("own"))
+    none, whole = F.lit(None), F.sum("count").over(W.partitionBy("grp"))
+    own = F.when(F.col("count") >= MIN_ROWS, grp(F.col("lang"), F.col("source"))).otherwise(grp(F.col("lang"), none))
+    by_language = counts.withColumn("grp", own).withColumn("whole", whole)
+    few = F.when(F.col("whole") >= MIN_ROWS, F.col("grp")).otherwise(grp(F.lit(REST), none))
+    grouped = by_language.withColumn("grp", few).withColumn("whole", whole)
+    largest = by_language.agg(F.max(F.struct("whole", "grp"))).scalar()
+    # the rest makes an estimate if it has the rows, or if there is nothing else
+    lone = (F.col("whole") < MIN_ROWS) & (largest["whole"] >= MIN_ROWS)
+    members = grouped.filter(~lone).select("lang", "source", "grp", "whole")
+    uses = grouped.select("lang", "source", F.when(lone, largest["grp"]).otherwise(F.col("grp")).alias("grp"))
+    return stage(members, "quality-groups"), stage(uses, "quality-uses")
 
 
 def first_estimate(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -190,9 +203,15 @@ def first_estimate(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return both.agg(*columns)
 
 
-def by_source(estimate: DataFrame, groups: DataFrame) -> DataFrame:
+def by_source(estimate: DataFrame, uses: DataFrame) -> DataFrame:
     """Each source's estimate as a stored table, whose known size lets Spark send it to the rows where it is small."""
-    return stage(groups.join(estimate, "grp").drop("grp", "whole"), "quality-mcd")
+    return stage(uses.join(estimate, "grp").drop("grp"), "quality-mcd")
+
+
+def mark(estimates: DataFrame) -> tuple:
+    """Equal for equal estimates, to six digits."""
+    rounded = [F.round(c, 6) for c in estimates.columns if c[0] in "mld" and c[1].isdigit()]
+    return tuple(estimates.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("lang", "source", *rounded))).first())
 
 
 def distances(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
@@ -255,10 +274,15 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     rows = stats.filter(~F.col("base_failed"))
     if carry:
         rows = rows.drop("doc")
-    groups = stage(share_groups(rows), "quality-groups")
-    estimates = by_source(first_estimate(rows, groups), groups)
+    groups, uses = share_groups(rows)
+    estimates = by_source(first_estimate(rows, groups), uses)
+    before = mark(estimates)
     for _ in range(STEPS):
-        estimates = by_source(concentrate(rows, estimates, groups), groups)
+        estimates = by_source(concentrate(rows, estimates, groups), uses)
+        now = mark(estimates)
+        if now == before:
+            break
+        before = now
     judged = distances(stats, estimates, "left")
     near = F.coalesce(F.col("d2") <= chi2_quantile(CUTOFF, len(DIMS)), F.lit(True))
     return judged.withColumn("kept", ~F.col("base_failed") & near).select(

@@ -90,7 +90,7 @@ def jump_tables(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
 
 
 def chosen_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
-    """(tree, leaf, id, rank): the messages of each tree's best branches; None keeps all branches."""
+    """(tree, leaf, id, rank, above): the messages of each tree's best branches, and how many steps above the leaf; None keeps all branches."""
     jumps, reached = jump_tables(messages)
     inner = messages.filter("parent IS NOT NULL").select("tree", F.col("parent").alias("id")).distinct()
     leaves = reached.join(inner, ["tree", "id"], "left_anti")
@@ -98,20 +98,18 @@ def chosen_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     leaves = leaves.withColumn("rank", F.row_number().over(best))
     if branches is not None:
         leaves = leaves.filter(F.col("rank") <= branches)
-    paths = leaves.select("tree", F.col("id").alias("leaf"), "id", "rank")
-    for jump in jumps:
-        higher = paths.join(jump, ["tree", "id"]).select("tree", "leaf", F.col("up").alias("id"), "rank")
+    paths = leaves.select("tree", F.col("id").alias("leaf"), "id", "rank", F.lit(0).cast("long").alias("above"))
+    for n, jump in enumerate(jumps):
+        # a jump of round n goes 2 ** n messages up
+        higher = paths.join(jump, ["tree", "id"]).select("tree", "leaf", F.col("up").alias("id"), "rank", (F.col("above") + (1 << n)).alias("above"))
         paths = stage(paths.unionByName(higher), "paths")
     return paths
 
 
 def format_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
-    """One row per chosen path: tree, leaf, rank, formatted text, loss mask (start, end exclusive).
-
-    Ids must grow from parent to child within a tree, as message ids do.
-    """
+    """One row per chosen path: tree, leaf, rank, formatted text, loss mask (start, end exclusive)."""
     paths = chosen_paths(messages, branches)
-    turn = F.struct("id", F.coalesce("role", F.lit("")).alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text"))
+    turn = F.struct((-F.col("above")).alias("place"), F.coalesce("role", F.lit("")).alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text"))
     rows = paths.join(messages.select("tree", "id", "role", "text"), ["tree", "id"])
     turns = rows.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     parts = F.transform("turns", lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(TEXT), t["text"], F.lit(END)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelspend.llm import spans as SP
-from modelspend.llm.shared import joined_bytes, read_table, stage, text_blocks
+from modelspend.llm.shared import free_name, joined_bytes, read_table, row_key, stage, text_blocks
 from modelspend.llm.words import word_bounds
 
 REACH = 300
@@ -175,6 +175,40 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Stands for a secret in a redacted text.
+REPLACEMENT = "[SECRET]"
+
+
+def redacted(docs: DataFrame, replacement: str = REPLACEMENT) -> DataFrame:
+    """All rows of ``docs``, every found secret replaced; ``n_chars``, where there is one, follows the text.
+
+    Rows meet their spans by a hash of their content, which equal rows share as they share their spans.
+    """
+    key, hits = free_name(docs, "secret_key"), free_name(docs, "secret_spans")
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    found = scan_secrets(keyed.select(F.col(key).alias("doc_id"), "text")).filter(F.size("spans") > 0)
+    found = found.select(F.col("doc_id").alias(key), F.col("spans").alias(hits)).dropDuplicates([key])
+    joined = keyed.join(stage(found, "found"), key, "left")
+    rest = lambda at, to: F.substring(F.col("text"), at + 1, to - at)
+    text = F.aggregate(
+        hits,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], rest(acc["at"], s["start"]), F.lit(replacement)))
+            .otherwise(acc["out"])
+            .alias("out"),
+        ),
+        lambda acc: F.concat(acc["out"], rest(acc["at"], F.length("text"))),
+    )
+    hit = F.col(hits).isNotNull()
+    out = joined.withColumn("text", F.when(hit, text).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 def op10_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the strong spans, and all spans, of every document."""
     found = scan_secrets(read_table(spark, sf_dir, "documents"))

@@ -53,6 +53,14 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of its like that no column of ``df`` has in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_key(*columns: str) -> Column:
     """A 64-bit key of a row's content; equal rows share it, null columns count."""
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])

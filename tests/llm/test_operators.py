@@ -333,6 +333,98 @@ def test_quality_counts(spark, corpus, docs):
         assert not (r.base_failed and r.kept)
 
 
+def robust_distances(z, groups, uses):
+    """Squared distances of the rows of ``z`` by concentration steps, in plain numpy."""
+    k, floors = z.shape[1], np.array(list(O8.FLOORS.values()))
+    z = z / O8.SCALE
+    estimates = {}
+    for g in set(groups.values()):
+        own = z[[i for i, of in groups.items() if of == g]]
+        low = lambda v: np.sort(v, axis=0)[(len(v) + 1) // 2 - 1]
+        middle = low(own)
+        spread = np.maximum(1.4826 * low(np.abs(own - middle)), floors)
+        estimates[g] = middle, np.diag(spread**2)
+
+    def square(v, estimate):
+        off = v - estimate[0]
+        return np.einsum("ij,ij->i", off @ np.linalg.inv(estimate[1]), off)
+
+    for _ in range(O8.STEPS):
+        after = {}
+        for g in estimates:
+            own = z[[i for i, of in groups.items() if of == g]]
+            cell = np.floor(64 * np.log2(1 + square(own, estimates[g])))
+            before = np.array([(cell < c).sum() for c in cell])
+            near = own[before < O8.H * len(own)]
+            scatter = O8.consistency() * np.cov(near.T, bias=True) + np.diag(floors**2)
+            after[g] = near.mean(0), scatter
+        same = all(np.allclose(after[g][0], estimates[g][0], atol=1e-7) and np.allclose(after[g][1], estimates[g][1], atol=1e-7) for g in after)
+        estimates = after
+        if same:
+            break
+    out = np.empty(len(z))
+    for g in set(uses.values()):
+        rows = [i for i, of in uses.items() if of == g]
+        out[rows] = square(z[rows], estimates[g])
+    return out
+
+
+def quality_groups(keys):
+    """The estimate each row makes and uses: its source's, its language's, the rest's, or the largest."""
+    own = Counter(keys)
+    first = {i: k if own[k] >= O8.MIN_ROWS else (k[0], None) for i, k in enumerate(keys)}
+    whole = Counter(first.values())
+    second = {i: g if whole[g] >= O8.MIN_ROWS else (O8.REST, None) for i, g in first.items()}
+    sizes = Counter(second.values())
+    largest = max(whole.items(), key=lambda x: (x[1], x[0][0], x[0][1] is not None, x[0][1] or ""))
+    lone = {i for i, g in second.items() if sizes[g] < O8.MIN_ROWS and largest[1] >= O8.MIN_ROWS}
+    return {i: g for i, g in second.items() if i not in lone}, {i: largest[0] if i in lone else g for i, g in second.items()}
+
+
+def check_verdicts(spark, frame):
+    rows = O8.vectors(O8.text_statistics(frame).withColumn("base_failed", O8.failed_rules())).collect()
+    judged = sorted(((r.row_key, r.doc_id, r.d2, r.kept) for r in O8.judge(frame).collect()), key=lambda r: r[:2])
+    rows = sorted(rows, key=lambda r: (r.row_key, r.doc_id))
+    good = [i for i, r in enumerate(rows) if not r.base_failed]
+    keys = [(rows[i].lang, rows[i].source) for i in good]
+    z = np.array([[rows[i][f"z{d}"] for d in range(len(O8.DIMS))] for i in good], float)
+    d2 = robust_distances(z, *quality_groups(keys))
+    cut = O8.chi2_quantile(O8.CUTOFF, len(O8.DIMS))
+    for i, want in zip(good, d2, strict=True):
+        assert math.isclose(judged[i][2], want, rel_tol=1e-5, abs_tol=1e-6)
+        assert judged[i][3] == (want <= cut)
+    assert not any(judged[i][3] for i in set(range(len(rows))) - set(good))
+    return {r[1]: r[3] for r in judged}
+
+
+def test_verdicts_equal_a_numpy_estimate(spark, corpus):
+    check_verdicts(spark, spark.read.parquet(f"{corpus}/documents.parquet"))
+
+
+def clean_texts(n, seed):
+    rng = np.random.default_rng(seed)
+    return ["\n".join(" ".join(f"word{rng.integers(0, 900)}" for _ in range(10)) for _ in range(int(rng.integers(8, 40)))) for _ in range(n)]
+
+
+def test_one_odd_statistic_is_enough(spark):
+    lines = clean_texts(30, 5)[0].split("\n") + clean_texts(30, 6)[1].split("\n")
+    same = "\n".join([f"{x} {i}" for i, x in enumerate(lines[:27])] + [lines[j % 8][:9] for j in range(48)])
+    symbols = " ".join(f"w{i}####" for i in range(400))
+    rows = [(i, t, "en", "web") for i, t in enumerate(clean_texts(400, 1))] + [(9000, same, "en", "web"), (9001, symbols, "en", "web")]
+    # few rows of a language take the corpus's estimate
+    rows += [(1000 + i, t, "xx", "tiny") for i, t in enumerate(clean_texts(9, 2))] + [(9002, symbols + " x", "xx", "tiny")]
+    kept = check_verdicts(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    assert not kept[9000] and not kept[9001] and not kept[9002]
+    assert sum(kept[i] for i in range(400)) > 390 and all(kept[1000 + i] for i in range(9))
+
+
+def test_a_small_corpus_is_judged(spark):
+    symbols = " ".join(f"w{i}####" for i in range(400))
+    rows = [(i, t, "en", "web") for i, t in enumerate(clean_texts(95, 1))] + [(9000, symbols, "en", "web")]
+    kept = check_verdicts(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    assert not kept.pop(9000) and sum(kept.values()) > 92
+
+
 def test_quality_is_native(spark, corpus):
     plan = O8.text_statistics(spark.read.parquet(f"{corpus}/documents.parquet"))
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().toString())
@@ -422,7 +514,7 @@ def test_pipeline(spark, corpus, docs):
         if name == "secrets":
             texts = {r.doc_id: r.text for r in rows.select("doc_id", "text").collect()}
             changed = {i for i, t in texts.items() if (t or "") != by_id[i]}
-            assert all(corpus_pipeline.REPLACEMENT in texts[i] for i in changed)
+            assert all(O10.REPLACEMENT in texts[i] for i in changed)
             assert all(not O10.strong_parts(t or "") for t in texts.values())
     judged = {r.doc_id: r.kept for r in O8.judge(table).select("doc_id", "kept").collect()}
     assert sorted(kept["quality rules"]) == sorted(i for i, _ in docs if judged[i])
@@ -431,3 +523,39 @@ def test_pipeline(spark, corpus, docs):
     leaked = {r.doc_id for r in O1.op1_benchmark_wand(spark, corpus).select("doc_id").collect()}
     assert kept["benchmark leaks"] and set(kept["benchmark leaks"]) == set(kept["near-duplicates"]) - leaked
     assert sorted(kept["pieces"]) == sorted(kept["secrets"]) == sorted(kept["benchmark leaks"])
+
+
+def test_copies_by_row(spark):
+    """Equal rows, rows without id, an id on two texts; names that the stage uses itself."""
+    long = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"other{i}" for i in range(80))
+    rows = [(1, long), (1, long), (None, other), (None, other), (2, long), (2, " ".join(f"third{i}" for i in range(50))), (None, long)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 AS row", "8 AS print", "9 AS root", "'x' AS first")
+    kept = O3.first_rows(frame)
+    assert kept.columns == frame.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text[:5]) for r in kept.collect())
+    assert got == [(False, 1, "word0"), (False, 2, "third"), (True, 0, "other")]
+
+
+def test_clashing_names_in_the_stages(spark, corpus):
+    names = ("row_key", "pieces", "n_pieces", "lossless", "secret_key", "secret_spans", "leak_key", "doc", "kept", "row")
+    table = spark.read.parquet(f"{corpus}/documents.parquet").limit(40).withColumns({c: O1.F.lit(1) for c in names})
+    rows = table
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        rows = corpus_pipeline.stage(step(spark, rows, corpus), "names")
+        assert rows.columns == table.columns
+    encoded = corpus_pipeline.encode(spark, rows, corpus)
+    assert {"pieces", "pieces_", "n_pieces_", "lossless_", "row_key"} <= set(encoded.columns)
+    assert all(r.lossless and r.pieces_ == 1 for r in encoded.collect())
+
+
+def test_ids_that_do_not_grow(spark):
+    rows = [("t", 9, None, 1.0, "user", "first"), ("t", 5, 9, 1.0, "assistant", "second"), ("t", 7, 5, 1.0, "user", "third")]
+    messages = spark.createDataFrame(rows, "tree string, id long, parent long, score double, role string, text string")
+    (row,) = O9.format_paths(messages).select(O9.read_back(O9.F.col("formatted")).alias("turns")).collect()
+    assert [t.text for t in row.turns] == ["first", "second", "third"]
+
+
+def test_counts_that_would_wrap_are_refused():
+    with pytest.raises(OverflowError):
+        O7.stored_counts(np.array([1, 1 << 32]))

@@ -7,17 +7,13 @@ columns of ``documents``; the last one returns the encoded rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from modelspend.llm import op01_benchmark_wand as leaks
 from modelspend.llm import op03_simhash_bktree as copies
 from modelspend.llm import op04_piece_sampling as pieces
 from modelspend.llm import op08_quality_outliers as quality
 from modelspend.llm import op10_linked_credentials as secrets
-from modelspend.llm.shared import read_table, row_key, stage
-
-REPLACEMENT = "[SECRET]"
-
+from modelspend.llm.shared import read_table, stage
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed rules and the outlier estimate keep."""
@@ -25,42 +21,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; rows without doc_id stay."""
-    gone = stage(copies.duplicates(docs).distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near copies, that of the smallest doc_id."""
+    return copies.first_rows(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    kept = leaks.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    return kept.select(docs.columns)
+    return leaks.without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every found secret replaced; ``n_chars`` follows the text."""
-    keyed = docs.withColumn("_secret_key", row_key("doc_id", "text"))
-    found = secrets.scan_secrets(keyed.select(F.col("_secret_key").alias("doc_id"), "text")).filter(F.size("spans") > 0)
-    # equal texts have equal spans
-    found = stage(found.select(F.col("doc_id").alias("_secret_key"), F.col("spans").alias("_secret_spans")).dropDuplicates(["_secret_key"]), "found")
-    joined = keyed.join(found, "_secret_key", "left")
-    rest = lambda at, to: F.substring(F.col("text"), at + 1, to - at)
-    redacted = F.aggregate(
-        "_secret_spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], rest(acc["at"], s["start"]), F.lit(REPLACEMENT)))
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], rest(acc["at"], F.length("text"))),
-    )
-    hit = F.col("_secret_spans").isNotNull()
-    out = joined.withColumn("text", F.when(hit, redacted).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    """All documents, every found secret replaced."""
+    return secrets.redacted(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,20 +1,22 @@
 """PII: information-theoretic sanitisation.
 
 Fixed detectors find the protected entities of each text: e-mail addresses, IP
-addresses, card and phone numbers.  The corpus then tells which words around an
-entity reveal it: with n(c) documents holding entity c, n(t) holding term t,
-and n(c, t) holding t within ``REACH`` words of c, of N documents, the pointwise
+addresses, card and phone numbers.  The corpus then tells which words of the texts that hold an entity
+reveal it: with n(c) documents holding entity c, n(t) holding term t, and n(c, t)
+holding both, anywhere in their texts, of N documents, the pointwise
 mutual information of t and c is log2(n(c,t) N / (n(c) n(t))), and the
 information of c is log2(N / n(c)).  A term whose mutual information is
 at least the share ``GENERALISE`` of the entity's information discloses it and
-is generalised to a class of words; from the share ``REMOVE`` on it is removed.
-At least ``SUPPORT`` documents must show the pair, so a rare word next to
-a one-time entity is no evidence.
+is generalised to a class of words; from the share ``REMOVE`` on it is removed.  That holds at
+all places of the term in all documents of the entity.
+``support`` documents must show the pair, so a rare word beside
+a one-time entity is no evidence; with 1 every pair counts.
 
 Terms are counted over all words of all documents, by 64-bit hashes that each
-task sums before the shuffle.  Only texts with an entity give pairs, at most
-2 * REACH for each place.  Pairs are counted by document before they meet the
-term counts, so neither a common word nor a common entity gathers rows.
+task sums before the shuffle.  Pairs start from the sparse side: only texts of an entity that enough
+documents hold give terms, and of these only terms rare enough to reach the share by any of the
+text's entities, since n(c, t) is at most n(c), are paired with entities.
+Pairs are counted by document before anything gathers, so neither a common word nor a common entity does.
 
 Edge cases: null text is empty; repeated rows each get their row and count as
 documents; an empty table gives no rows; other columns are ignored; texts are
@@ -32,15 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelspend.llm import spans as SP
-from modelspend.llm.shared import joined_bytes, read_table, stage, text_blocks
+from modelspend.llm.shared import discard, joined_bytes, read_table, stage, text_blocks
 from modelspend.llm.words import ALNUM, hash_of, mix, word_bounds, word_hashes
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 BASE = 4
-REACH = 10
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
-MIN_TERM = 3
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 EMAIL_START = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -103,57 +103,77 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def pairs_of(text: str, found: list[tuple[int, int, int]]) -> list[dict]:
-    """(entity, term, start, end) for the words within REACH of each entity that are in none themselves."""
-    words = [m.span() for m in WORD.finditer(text)]
-    firsts = np.array([a for a, _ in words])
-    lasts = np.array([b for _, b in words])
+def open_words(text: str, found: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(hash, start, end) of the words of a text that are in no entity."""
+    words = np.array([m.span() for m in WORD.finditer(text)]).reshape(-1, 2)
     covered = np.zeros(len(words), bool)
     for a, _, b in found:
-        covered[np.searchsorted(lasts, a, side="right") : np.searchsorted(firsts, b)] = True
-    out, hashes = [], {}
-    for a, kind, b in found:
-        entity = signed(hash_of(entity_name(kind, text[a:b])))
-        low = int(np.searchsorted(lasts, a, side="right"))
-        high = int(np.searchsorted(firsts, b))
-        for i in [*range(max(0, low - REACH), low), *range(high, min(len(words), high + REACH))]:
-            start, end = words[i]
-            if covered[i] or end - start < MIN_TERM:
-                continue
-            if i not in hashes:
-                hashes[i] = signed(hash_of(text[start:end].translate(A_TO_Z)))
-            out.append({"entity": entity, "term": hashes[i], "start": start, "end": end})
-    return out
+        covered[np.searchsorted(words[:, 1], a, side="right") : np.searchsorted(words[:, 0], b)] = True
+    hashes: dict[str, int] = {}
+    for start, end in words[~covered].tolist():
+        word = text[start:end].translate(A_TO_Z)
+        if word not in hashes:
+            hashes[word] = signed(hash_of(word))
+        yield hashes[word], start, end
 
 
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-PAIR_TYPE = pa.list_(
-    pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-)
-PAIRS = "array<struct<entity:bigint,term:bigint,start:int,end:int>>"
+
+
+def as_spans(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans]
 
 
 def find_entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, base, entities, held): the entities of each text, and the text itself where it has any."""
     for block in text_blocks(batches):
         data, bounds = joined_bytes(block.column("text"))
         digits = np.zeros(len(data) + 1, np.int64)
         np.cumsum(IS_DIGIT[data], out=digits[1:])
         look = np.diff(digits[bounds]) >= 4
         look[np.searchsorted(bounds, np.flatnonzero(data == ord("@")), side="right") - 1] = True
-        spans, pairs = [[] for _ in look], [[] for _ in look]
+        spans, names, held = [[] for _ in look], [[] for _ in look], [None] * len(look)
         text = block.column("text")
         for i in np.flatnonzero(look):
             one = text[int(i)].as_py()
             found = entities(one)
             if found:
-                spans[i] = [dict(zip(("start", "kind", "end"), s, strict=True)) for s in found]
-                pairs[i] = pairs_of(one, found)
+                spans[i], held[i] = as_spans(found), one
+                names[i] = sorted({signed(hash_of(entity_name(k, one[a:b]))) for a, k, b in found})
         yield pa.RecordBatch.from_arrays(
-            [block.column("doc_id"), pa.array(spans, SPAN_TYPE), pa.array(pairs, PAIR_TYPE)],
-            names=["doc_id", "base", "pairs"],
+            [block.column("doc_id"), pa.array(spans, SPAN_TYPE), pa.array(names, pa.list_(pa.int64())), pa.array(held, pa.string())],
+            names=["doc_id", "base", "entities", "held"],
         )
 
 
+def found_of(base: list[dict]) -> list[tuple[int, int, int]]:
+    return [(s["start"], s["kind"], s["end"]) for s in base]
+
+
+def text_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, most, term): the distinct terms of each text (row, most, base, held)."""
+    for batch in batches:
+        for row, most, base, held in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            terms = np.array(sorted({h for h, _, _ in open_words(held, found_of(base))}), np.int64)
+            for at in range(0, len(terms), 50_000):
+                part = terms[at : at + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row] * len(part), pa.int64()), pa.array([most] * len(part), pa.float64()), pa.array(part)],
+                    names=["row", "most", "term"],
+                )
+
+
+def term_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, terms): all places of the disclosing terms of each text (row, base, held, disclosing)."""
+    for batch in batches:
+        rows, places = [], []
+        for row, base, held, disclosing in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            kinds = {d["term"]: d["kind"] for d in disclosing}
+            rows.append(row)
+            places.append(as_spans([(a, kinds[h], b) for h, a, b in open_words(held, found_of(base)) if h in kinds]))
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(places, SPAN_TYPE)], names=["row", "terms"])
+
+
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sum counts of equal hashes."""
     hashes = np.concatenate([h for h, _ in parts])
@@ -197,39 +217,53 @@ def term_rows(part: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, base, pairs) of every row."""
+    """(row, doc_id, base, entities, held) of every row, stored."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").mapInArrow(find_entities, f"doc_id {kind}, base {SP.SPANS}, pairs {PAIRS}")
+    schema = f"doc_id {kind}, base {SP.SPANS}, entities array<bigint>, held string"
+    found = docs.select("doc_id", "text").mapInArrow(find_entities, schema)
     return stage(found.withColumn("row", F.monotonically_increasing_id()), "pii")
 
 
-def disclosures(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """(entity, term, share): how much of an entity's information each disclosing term carries."""
-    pairs = scanned.select("row", F.explode("pairs").alias("p")).select("row", "p.entity", "p.term").distinct()
-    shown = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= SUPPORT)
-    entity = F.explode(F.array_distinct(F.transform("pairs", lambda p: p["entity"]))).alias("entity")
-    holding = scanned.filter(F.size("pairs") > 0).select("row", entity).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    known = shown.select("term").distinct()
-    terms = docs.select("text").mapInArrow(count_terms, "term bigint, n_term bigint")
-    terms = terms.join(known, "term", "left_semi").groupBy("term").agg(F.sum("n_term").alias("n_term"))
-    total = F.lit(scanned.count()).cast("double")
-    information = F.log2(total / F.col("n_entity"))
-    mutual = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
-    both = shown.join(holding, "entity").join(terms, "term")
+def disclosures(docs: DataFrame, scanned: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """(row, entity, n_entity) of the entities that enough documents hold, and (entity, term, row, share): each
+    disclosing term, how much of the entity's information it carries, and where both stand; both stored."""
+    total = float(scanned.count())
+    held = scanned.select("row", F.explode("entities").alias("entity"))
     # an entity of every document is no secret
-    both = both.filter(F.col("n_entity") < total).withColumn("share", mutual / information)
-    return both.filter(F.col("share") >= GENERALISE).select("entity", "term", "share")
-
-
-def scan_private(docs: DataFrame) -> DataFrame:
+    counts = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    counts = counts.filter((F.col("n_entity") >= support) & (F.col("n_entity") < total))
+    holding = stage(held.join(counts, "entity"), "pii-entities")
+
+    # n(c, t) <= n(c), so the share is reached only where n(t) <= n(c) (N / n(c)) ** (1 - share)
+    most = F.max(F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - GENERALISE))).alias("most")
+    relevant = scanned.join(holding.groupBy("row").agg(most), "row").select("row", "most", "base", "held")
+    terms = stage(relevant.mapInArrow(text_terms, "row bigint, most double, term bigint"), "pii-terms")
+    known = terms.select("term").distinct()
+    numbers = docs.select("text").mapInArrow(count_terms, "term bigint, n_term bigint")
+    numbers = numbers.join(known, "term", "left_semi").groupBy("term").agg(F.sum("n_term").alias("n_term"))
+    rare = terms.join(numbers, "term").filter(F.col("n_term") <= F.col("most") * (1 + 1e-9))
+    pairs = stage(rare.join(holding, "row").select("row", "entity", "n_entity", "term", "n_term"), "pii-pairs")
+
+    both = pairs.groupBy("entity", "n_entity", "term", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+    mutual = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_entity") * F.col("n_term")))
+    both = both.filter(F.col("n_both") >= support).withColumn("share", mutual / information)
+    both = both.filter(F.col("share") >= GENERALISE).select("entity", "term", "share")
+    shown = stage(pairs.join(both, ["entity", "term"]).select("entity", "term", "row", "share"), "pii-shown")
+    discard(terms, pairs)
+    return holding, shown
+
+
+def scan_private(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(row, doc_id, base, spans): entities, and entities with disclosing terms, of every row."""
     scanned = scan(docs)
-    places = scanned.select("row", F.explode("pairs").alias("p")).select("row", "p.*")
-    kind = F.when(F.max("share") >= REMOVE, KINDS.index("remove")).otherwise(KINDS.index("generalise"))
-    terms = places.join(disclosures(docs, scanned), ["entity", "term"]).groupBy("row", "start", "end")
-    terms = terms.agg(kind.cast("int").alias("kind"))
-    terms = terms.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("terms"))
-    joined = scanned.select("row", "doc_id", "base").join(terms, "row", "left")
+    _, shown = disclosures(docs, scanned, support)
+    kind = F.when(F.max("share") >= REMOVE, KINDS.index("remove")).otherwise(KINDS.index("generalise")).cast("int")
+    terms = shown.groupBy("row", "term").agg(kind.alias("kind"))
+    terms = terms.groupBy("row").agg(F.collect_list(F.struct("term", "kind")).alias("disclosing"))
+    places = scanned.join(terms, "row").select("row", "base", "held", "disclosing")
+    places = places.mapInArrow(term_places, f"row bigint, terms {SP.SPANS}")
+    joined = scanned.select("row", "doc_id", "base").join(places, "row", "left")
     none = F.array().cast(SP.SPANS)
     return joined.select("row", "doc_id", "base", F.sort_array(F.concat("base", F.coalesce("terms", none))).alias("spans"))
 

@@ -114,15 +114,60 @@ def test_private(spark, corpus, docs):
         assert r.base_sha256 == digest(found, O2.KINDS)
 
 
+def disclosing(rows, support):
+    """All spans of every row, from the definition."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    found = [O2.entities(t or "") for _, t in rows]
+    inside = lambda f, a, b: any(x < b and a < y for x, _, y in f)
+    words = [[(lower(m[0]), *m.span()) for m in word.finditer(t or "")] for _, t in rows]
+    stands, holds, both = Counter(), Counter(), Counter()
+    for (_, t), f, w in zip(rows, found, words, strict=True):
+        stands.update({x for x, _, _ in w})
+        names = {O2.entity_name(k, t[a:b]) for a, k, b in f}
+        holds.update(names)
+        both.update((c, x) for c in names for x in {x for x, a, b in w if not inside(f, a, b)})
+    n, kinds = len(rows), {}
+    for (c, x), k in both.items():
+        if support <= k and holds[c] >= support and holds[c] < n:
+            share = math.log2(k * n / (holds[c] * stands[x])) / math.log2(n / holds[c])
+            if share >= O2.GENERALISE:
+                kinds[c, x] = 5 if share >= O2.REMOVE else 4
+    out = []
+    for (_, t), f, w in zip(rows, found, words, strict=True):
+        names = {O2.entity_name(k, t[a:b]) for a, k, b in f}
+        terms = []
+        for x, a, b in w:
+            mine = [kinds[c, x] for c in names if (c, x) in kinds and not inside(f, a, b)]
+            terms += [(a, max(mine), b)] if mine else []
+        out.append(sorted(f + terms))
+    return out
+
+
+def check_disclosing(spark, rows, support):
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in O2.scan_private(frame, support).collect()}
+    want = disclosing(rows, support)
+    assert [got[i] for i in range(len(rows))] == want
+    return want
+
+
+@pytest.mark.parametrize("support", [1, 3])
+def test_disclosing_terms_of_whole_texts(spark, docs, support):
+    check_disclosing(spark, docs, support)
+
+
 def test_terms_that_disclose(spark):
-    rows = [(i, f"clerk zaphod writes from boss@corp.org about budget item") for i in range(8)]
-    rows += [(100 + i, "clerk writes about budget item and more") for i in range(40)]
+    filler = " ".join(f"fill{i}" for i in range(60))
+    rows = [(i, f"clerk zaphod writes from boss@corp.org about budget item {filler} and farword ends") for i in range(8)]
+    rows += [(100 + i, "clerk writes about budget item and more " + filler) for i in range(40)]
     rows += [(i, f"the other name is trillian see x{i}@corp.org") for i in range(200, 203)]
-    found = {r.doc_id: r.spans for r in O2.scan_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    words = [rows[0][1][s.start : s.end] for s in found[0] if s.kind >= O2.BASE]
-    assert set(words) == {"zaphod", "from"}
-    assert all(s.kind < O2.BASE for i in (100, 200) for s in found[i])
-    assert "zaphod" not in O2.sanitise(rows[0][1], [(s.start, s.kind, s.end) for s in found[0]])
+    want = check_disclosing(spark, rows, O2.SUPPORT)
+    # a word sixty words away is found as one beside the address
+    words = [rows[0][1][a:b] for a, k, b in want[0] if k >= O2.BASE]
+    assert set(words) == {"zaphod", "from", "farword", "ends"}
+    assert all(k < O2.BASE for i in (8, 48) for _, k, _ in want[i])
+    clean = O2.sanitise(rows[0][1], want[0])
+    assert "zaphod" not in clean and "farword" not in clean and "fill7" in clean
 
 
 def simhash(text):

@@ -6,8 +6,9 @@ the centre and scatter of the tightest share ``H`` of the documents: it starts
 from medians and median deviations, then repeats concentration steps (take the
 ``H`` nearest by Mahalanobis distance, re-estimate) until no estimate changes, ``STEPS`` at
 most.  Documents beyond the chi-square cutoff are rejected, and so are those that fail the fixed
-rules.  Least deviations keep the scatter regular where most texts have none of a kind; they are low
-enough that any one statistic can reject a text that the fixed rules keep.
+rules.  Least deviations keep the scatter regular where most texts have none of a kind.  They are low
+enough for each statistic to reject a text by itself, but for repeated words, which the fixed rules
+cut at 30 percent: there they only add to the others, as a lower one costs clean texts.
 
 Vectors are whole multiples of 1/256, so all sums are exact integers and the
 verdicts don't depend on the order of rows.  "The nearest H" is cut on a fixed
@@ -43,7 +44,7 @@ MIN_ROWS = 30
 CUTOFF = 0.99999
 SALTS = 16
 #: Vector components, and the least standard deviation that an estimate may have.
-FLOORS = {"words": 0.1, "length": 0.05, "symbols": 0.5, "lines": 0.6, "repeats": 0.55, "capitals": 0.5}
+FLOORS = {"words": 0.1, "length": 0.05, "symbols": 0.5, "lines": 0.72, "repeats": 1.0, "capitals": 0.5}
 DIMS = tuple(FLOORS)
 PAIRS = tuple(combinations_with_replacement(range(len(DIMS)), 2))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -52,20 +52,26 @@ def model_cost_history_usage(fact: DataFrame) -> DataFrame:
     )
 
 
-def model_cost_history_credits(fact: DataFrame) -> DataFrame:
-    """Credits and cost per model, over its runs; missing parts of a credit count as 0."""
+CREDIT_SUMS = ("compute_credits", "credits", "compute_cost", "cost", "gb_scanned")
+
+
+def _credit_values(fact: DataFrame) -> DataFrame:
+    """Credits and cost of each row; missing parts of a credit count as 0."""
 
     def both(compute: str, services: str) -> Column:
         return or_zero(F.col(compute)) + or_zero(F.col(services))
 
-    runs = fact.groupBy(*MODEL, S.RUN_ID).agg(
-        F.sum("credits_attributed_compute").alias("compute_credits"),
-        F.sum(both("credits_attributed_compute", "credits_used_cloud_services")).alias("credits"),
-        F.sum("attributed_compute_cost").alias("compute_cost"),
-        F.sum(both("attributed_compute_cost", "cloud_services_cost")).alias("cost"),
-        F.avg("execution_time").alias("execution_time"),
-        F.sum("gb_scanned").alias("gb_scanned"),
+    return fact.withColumns(
+        {
+            "compute_credits": F.col("credits_attributed_compute"),
+            "credits": both("credits_attributed_compute", "credits_used_cloud_services"),
+            "compute_cost": F.col("attributed_compute_cost"),
+            "cost": both("attributed_compute_cost", "cloud_services_cost"),
+        }
     )
+
+
+def _over_credit_runs(runs: DataFrame) -> DataFrame:
     return runs.groupBy(*MODEL).agg(
         *_named(AVG_MAX_TOTAL, "credits", "credits"),
         F.sum("compute_credits").alias("total_run_compute_credits"),
@@ -78,9 +84,34 @@ def model_cost_history_credits(fact: DataFrame) -> DataFrame:
     )
 
 
-def model_cost_history_bytes(fact: DataFrame, rates: Rates) -> DataFrame:
-    """On-demand and capacity cost per model, over its queries."""
-    queries = fact.select(
+def model_cost_history_credits(fact: DataFrame) -> DataFrame:
+    """Credits and cost per model, over its runs; missing parts of a credit count as 0."""
+    runs = _credit_values(fact).groupBy(*MODEL, S.RUN_ID)
+    return _over_credit_runs(runs.agg(*[F.sum(c).alias(c) for c in CREDIT_SUMS], F.avg("execution_time").alias("execution_time")))
+
+
+def credit_parts(fact: DataFrame, *by: str) -> DataFrame:
+    """What :func:`credit_history_of_parts` needs of the fact, per run and ``by``; parts of different rows add up."""
+    return _credit_values(fact).groupBy(*by, *MODEL, S.RUN_ID).agg(
+        *[F.sum(c).alias(c) for c in CREDIT_SUMS],
+        F.sum("execution_time").alias("execution_time_sum"),
+        F.count("execution_time").alias("execution_time_n"),
+    )
+
+
+def credit_history_of_parts(parts: DataFrame) -> DataFrame:
+    """:func:`model_cost_history_credits` of all rows that the parts stand for."""
+    runs = parts.groupBy(*MODEL, S.RUN_ID)
+    return _over_credit_runs(runs.agg(*[F.sum(c).alias(c) for c in CREDIT_SUMS], _mean_of("execution_time")))
+
+
+def _mean_of(column: str, alias: str | None = None) -> Column:
+    return F.try_divide(F.sum(f"{column}_sum"), F.sum(f"{column}_n")).alias(alias or column)
+
+
+def _byte_values(fact: DataFrame, rates: Rates, *also: str) -> DataFrame:
+    return fact.select(
+        *also,
         *MODEL,
         S.RUN_ID,
         costs.bytes_cost(F.col("total_bytes_billed"), rates.per_tib).alias("on_demand_cost"),
@@ -91,7 +122,11 @@ def model_cost_history_bytes(fact: DataFrame, rates: Rates) -> DataFrame:
         "total_bytes_processed",
         "execution_time",
     )
-    return queries.groupBy(*MODEL).agg(
+
+
+def model_cost_history_bytes(fact: DataFrame, rates: Rates) -> DataFrame:
+    """On-demand and capacity cost per model, over its queries."""
+    return _byte_values(fact, rates).groupBy(*MODEL).agg(
         *_named(AVG_MAX_TOTAL, "on_demand_cost", "on_demand_cost"),
         *_named(AVG_MAX_TOTAL, "capacity_cost", "capacity_cost"),
         *_named(AVG_MAX_TOTAL, "slot_minutes", "slot_minutes"),
@@ -105,6 +140,42 @@ def model_cost_history_bytes(fact: DataFrame, rates: Rates) -> DataFrame:
     )
 
 
+# A value's column and its name in the report, with its total where the report has it.
+BYTE_VALUES = {
+    "on_demand_cost": ("run_on_demand_cost", "total_run_on_demand_cost"),
+    "capacity_cost": ("run_capacity_cost", "total_run_capacity_cost"),
+    "slot_minutes": ("run_slot_minutes", "total_run_slot_minutes"),
+    "job_avg_slots": ("slots_per_query", None),
+    "total_bytes_billed": ("bytes_billed", "total_bytes_billed"),
+    "total_bytes_processed": ("bytes_processed", None),
+    "execution_time": ("execution_time_seconds", None),
+}
+
+
+def byte_parts(fact: DataFrame, rates: Rates, *by: str) -> DataFrame:
+    """What :func:`byte_history_of_parts` needs of the fact, per run and ``by``; parts of different rows add up."""
+    return _byte_values(fact, rates, *by).groupBy(*by, *MODEL, S.RUN_ID).agg(
+        F.count(F.lit(1)).alias("queries"),
+        *[agg(c).alias(f"{c}_{part}") for c in BYTE_VALUES for part, agg in (("sum", F.sum), ("n", F.count), ("max", F.max))],
+    )
+
+
+def byte_history_of_parts(parts: DataFrame) -> DataFrame:
+    """:func:`model_cost_history_bytes` of all rows that the parts stand for."""
+    runs = parts.groupBy(*MODEL, S.RUN_ID).agg(
+        F.sum("queries").alias("queries"),
+        *[agg(f"{c}_{part}").alias(f"{c}_{part}") for c in BYTE_VALUES for part, agg in (("sum", F.sum), ("n", F.sum), ("max", F.max))],
+    )
+    values = []
+    for column, (name, total) in BYTE_VALUES.items():
+        values += [_mean_of(column, f"avg_{name}"), F.max(f"{column}_max").alias(f"max_{name}")]
+        if total:
+            values.append(F.sum(f"{column}_sum").alias(total))
+    return runs.groupBy(*MODEL).agg(
+        *values, F.sum("queries").alias("total_query_count"), F.count(S.RUN_ID).alias("total_run_count")
+    )
+
+
 # ------------------------------------------------------------------ reuse counts
 
 
@@ -122,7 +193,11 @@ def _per_run(executions: DataFrame, *counts: Column) -> DataFrame:
 def reuse_counts(executions: DataFrame, job_runs: DataFrame) -> DataFrame:
     """Reused executions per model, day, environment and project, and the runs they came from."""
     reused = executions.filter(F.col("status") == REUSED)
-    per_run = _per_run(reused, F.count(F.lit(1)).alias("reuses"))
+    return reuse_counts_of_runs(_per_run(reused, F.count(F.lit(1)).alias("reuses")), job_runs)
+
+
+def reuse_counts_of_runs(per_run: DataFrame, job_runs: DataFrame) -> DataFrame:
+    """:func:`reuse_counts` from the reuses of each model, day and run."""
     return (
         _with_environment(per_run, job_runs)
         .groupBy(*DAILY)
@@ -135,12 +210,21 @@ def reuse_execute_counts(executions: DataFrame, job_runs: DataFrame) -> DataFram
 
     Other statuses count for neither side but keep their row.
     """
+    return reuse_execute_counts_of_runs(counts_per_run(executions), job_runs)
+
+
+def counts_per_run(executions: DataFrame) -> DataFrame:
+    """Reuses and executions of each model, day (``reuse_date``) and run."""
     status = F.col("status")
-    per_run = _per_run(
+    return _per_run(
         executions,
         F.count(F.when(status == REUSED, 1)).alias("reuses"),
         F.count(F.when(status.isin(*EXECUTED), 1)).alias("executes"),
     )
+
+
+def reuse_execute_counts_of_runs(per_run: DataFrame, job_runs: DataFrame) -> DataFrame:
+    """:func:`reuse_execute_counts` from the counts of each model, day and run."""
     return (
         _with_environment(per_run, job_runs)
         .groupBy(*DAILY)

@@ -18,7 +18,8 @@ from modelspend.operators import allocation as A
 from modelspend.operators import history as H
 from modelspend.operators import quality as Q
 from modelspend.operators import stored_history as T
-from modelspend.plans import facts, histories, ingest, reports, tracking
+from modelspend.plans import daily_state, facts, histories, ingest, reports, tracking
+from modelspend.plans.views import BYTES_SLOTS, CREDITS
 from modelspend.sources import fixtures as X
 from modelspend.sources.staging import CHECKPOINT_DIR, WAREHOUSE_DIR, Stages, unstaged
 from modelspend.sources.tables import Dated
@@ -475,6 +476,38 @@ def savings_summary(spark, sf_dir):
     return reports.savings_summary(_credit_daily(spark, sf_dir), SETTINGS)
 
 
+def _refreshed_state(spark, sf_dir, pricing, tables):
+    """A state of days after a first load and a run with a day's new and other days' late executions."""
+    stage = Stages(spark, new_folder(spark))
+    sources = X.sources(spark, sf_dir, *tables, "job_runs")
+    started, late = F.col("run_started_at"), F.col("status") == "error"
+    on_time = (started < "2024-01-25") & ~(late & (started >= "2024-01-20"))
+    path = f"{stage.folder}/state"
+    first = replace(sources, executions=sources.executions.filter(on_time))
+    for known, new in ((first, first.executions), (sources, sources.executions.filter(~F.coalesce(on_time, F.lit(False))))):
+        daily_state.refresh_days(spark, path, known, SETTINGS, pricing, daily_state.days_of(new), stage)
+    return path, sources
+
+
+@query
+def daily_savings_credits_stored(spark, sf_dir):
+    path, sources = _refreshed_state(spark, sf_dir, CREDITS, CREDIT_TABLES)
+    return rounded(daily_state.daily_savings(spark, path, sources, SETTINGS, CREDITS), *CREDIT_SUMS)
+
+
+@query
+def daily_savings_bytes_stored(spark, sf_dir):
+    path, sources = _refreshed_state(spark, sf_dir, BYTES_SLOTS, JOB_TABLES)
+    daily = daily_state.daily_savings(spark, path, sources, SETTINGS, BYTES_SLOTS)
+    return rounded(daily, *BYTES_SUMS, *BYTES_SAVINGS)
+
+
+@query
+def savings_summary_stored(spark, sf_dir):
+    path, sources = _refreshed_state(spark, sf_dir, CREDITS, CREDIT_TABLES)
+    return daily_state.savings_summary(spark, path, sources, SETTINGS)
+
+
 # ------------------------------------------------------------------ expressions
 
 

@@ -39,6 +39,11 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(folder))
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
 def committed(spark: SparkSession, table: str) -> list[str]:
     """Folders of the committed batches of a table."""
     table = table.rstrip("/")
@@ -79,8 +84,7 @@ def commit_once(rows: DataFrame, table: str) -> str | None:
     uncommitted(rows.withColumn(SOURCE, named), table).write.parquet(f"{batch}/{ROWS}")
     written = spark.read.schema(rows.schema).parquet(f"{batch}/{ROWS}").select(SOURCE).distinct()
     if written.isEmpty():
-        folder, system = _folder(spark, batch)
-        system.delete(folder, True)
+        delete_folder(spark, batch)
         return None
     written.write.parquet(f"{batch}/{SOURCES}")
     marker, system = _folder(spark, f"{table}/{COMMITS}/{name}")
@@ -99,6 +103,5 @@ def drop_uncommitted(spark: SparkSession, table: str) -> int:
     kept = {f.rsplit("/", 1)[1] for f in committed(spark, table)}
     left = [name for name in _names(spark, f"{table}/{BATCHES}") if name not in kept]
     for name in left:
-        folder, system = _folder(spark, f"{table}/{BATCHES}/{name}")
-        system.delete(folder, True)
+        delete_folder(spark, f"{table}/{BATCHES}/{name}")
     return len(left)

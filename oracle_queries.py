@@ -509,6 +509,9 @@ BODIES |= {
     "recorded_jobs_find_their_statements": f"""SELECT s.event_id AS query_id, {OWN_COLUMNS} FROM own_runs e
         JOIN own_statements s ON s.own_job = e.own_job AND {OWN_PAIR} WHERE e.is_tracked""",
     "upsert_stored": BODIES["incremental_upsert"],
+    "daily_savings_credits_stored": BODIES["daily_savings_credits"],
+    "daily_savings_bytes_stored": BODIES["daily_savings_bytes"],
+    "savings_summary_stored": BODIES["savings_summary"],
     "snapshot_stored": """SELECT o.*, o.updated_at AS valid_from,
         CASE WHEN l.updated_at > o.updated_at THEN l.updated_at END AS valid_to
         FROM o JOIN o_later l USING (o_orderkey) WHERE o.o_orderstatus <> 'P'

@@ -46,16 +46,98 @@ TEMPLATES = {
     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
     "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
     "and this permission notice <<optional>> including the next paragraph <<end>> shall be included in all copies or "
-    "substantial portions of the software",
+    "substantial portions of the software the software is provided as is without warranty of any kind express or implied "
+    "including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+    "in no event shall <<any:8>> be liable for any claim damages or other liability whether in an action of contract tort "
+    "or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
     "isc": "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or "
-    "without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+    "the software is provided as is and <<any:8>> disclaims all warranties with regard to this software including all "
+    "implied warranties of merchantability and fitness in no event shall <<any:8>> be liable for any special direct "
+    "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an "
+    "action of contract negligence or other tortious action arising out of or in connection with the use or performance "
+    "of this software",
+    "0bsd": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted the software is provided as is and <<any:8>> disclaims all warranties with regard to this software including "
+    "all implied warranties of merchantability and fitness in no event shall <<any:8>> be liable for any special direct "
+    "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an "
+    "action of contract negligence or other tortious action arising out of or in connection with the use or performance "
+    "of this software",
+    "bsd-2-clause": "redistribution and use in source and binary forms with or without modification are permitted provided "
+    "that the following conditions are met <<any:1>> redistributions of source code must retain the above copyright notice "
+    "this list of conditions and the following disclaimer <<any:1>> redistributions in binary form must reproduce the "
+    "above copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution this software is provided by <<any:12>> as is and any express or implied "
+    "warranties including but not limited to the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed in no event shall <<any:12>> be liable for any direct indirect incidental special exemplary or "
+    "consequential damages including but not limited to procurement of substitute goods or services loss of use data or "
+    "profits or business interruption however caused and on any theory of liability whether in contract strict liability "
+    "or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+    "possibility of such damage",
+    "bsd-3-clause": "redistribution and use in source and binary forms with or without modification are permitted provided "
+    "that the following conditions are met <<any:1>> redistributions of source code must retain the above copyright notice "
+    "this list of conditions and the following disclaimer <<any:1>> redistributions in binary form must reproduce the "
+    "above copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution <<any:1>> neither the name of <<any:12>> nor the names of <<any:3>> "
+    "contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission this software is provided by <<any:12>> as is and any express or implied warranties including but not "
+    "limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event "
+    "shall <<any:12>> be liable for any direct indirect incidental special exemplary or consequential damages including "
+    "but not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence or "
+    "otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "zlib": "this software is provided as is without any express or implied warranty in no event will <<any:4>> be held "
+    "liable for any damages arising from the use of this software permission is granted to anyone to use this software for "
+    "any purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+    "restrictions <<any:1>> the origin of this software must not be misrepresented you must not claim that you wrote the "
+    "original software if you use this software in a product an acknowledgment in the product documentation would be "
+    "appreciated but is not required <<any:1>> altered source versions must be plainly marked as such and must not be "
+    "misrepresented as being the original software <<any:1>> this notice may not be removed or altered from any source "
+    "distribution",
+    "unlicense": "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+    "publish use compile sell or distribute this software either in source code form or as a compiled binary for any "
+    "purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or "
+    "authors of this software dedicate any and all copyright interest in the software to the public domain we make this "
+    "dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this "
+    "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under "
+    "copyright law the software is provided as is without warranty of any kind express or implied including but not "
+    "limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall "
+    "the authors be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+    "arising from out of or in connection with the software or the use or other dealings in the software",
+    "apache-2.0-header": "licensed under the apache license version 2 0 the license you may not use this file except in "
+    "compliance with the license you may obtain a copy of the license at <<any:1>> www apache org licenses license 2 0 "
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an "
+    "as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+    "language governing permissions and limitations under the license",
+    "mpl-2.0-header": "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the "
+    "mpl was not distributed with this file you can obtain one at <<any:1>> mozilla org mpl 2 0",
+    "cc0-1.0-waiver": "to the extent possible under law <<any:12>> has waived all copyright and related or neighboring "
+    "rights to",
+}
+#: The licences of the usual file header and the versions that it names.
+HEADERS = {
+    "gpl": ("gnu general public license", ("2", "3")),
+    "lgpl": ("gnu lesser general public license", ("2 1", "3")),
+    "agpl": ("gnu affero general public license", ("3",)),
+}
+#: Fixed value: the wording of that header.
+HEADER = (
+    "is free software you can redistribute it and or modify it under the terms of the {name} as published by the free "
+    "software foundation either version {version} of the license or at your option any later version <<any:8>> is "
+    "distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+    "merchantability or fitness for a particular purpose see the {name} for more details"
+)
+TEMPLATES |= {
+    f"{short}-{version.replace(' ', '.')}-or-later-header": HEADER.format(name=name, version=version)
+    for short, (name, versions) in HEADERS.items()
+    for version in versions
 }
 LABELS = "doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 GAP = rb"[^0-9a-z\x80-\xff]+"
 BASE = [(re.compile(GAP.join(w.encode() for w in phrase.split())), label) for phrase, label in PHRASES]
 #: Every template holds one of these; found in lower case.
-HINT = re.compile(rb"licen[sc]e|permission|all[^0-9a-z\x80-\xff]+rights")
+HINT = re.compile(rb"licen[sc]e|permission|all[^0-9a-z\x80-\xff]+rights|redistribution|unencumbered|neighboring")
 
 
 class Automaton:

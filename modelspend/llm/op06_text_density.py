@@ -11,9 +11,16 @@ reach to count as text too; of each such part, the subtree with its largest sum
 is taken.  Within the same article or main element, parts that are not mostly
 links count as well.
 
+Where an ancestor of the densest part also holds a first-level heading, the parts
+of that ancestor count like those of an article element.
+
 Elements that are never an article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are left out by tag, role,
-class or id before densities are compared.
+class or id before densities are compared.  A class, id or role counts if it is made of
+such words and words of layout only: ``site-header``, not ``has-sidebar``.  A wrapper so named
+stays nevertheless where it holds most of the page's text and all of its paragraphs.
+
+Reading takes time in proportion to the page, however deep its elements are nested.
 
 Edge cases: null html is an empty page with an empty text; unclosed, crossed
 and truncated markup is read as browsers do, a broken tag's start as text;
@@ -57,6 +64,14 @@ NOT_ARTICLE = frozenset(
     "notification alert popup modal overlay newsletter subscribe signup login comment comments disqus reply replies "
     "respond related recommended share sharing social widget toolbar pagination pager".split()
 )
+#: Words of layout that may stand beside them.
+LAYOUT = frozenset(
+    "site page main global primary secondary left right top bottom inner outer bar box block list item items link links "
+    "button buttons icon icons area section container wrapper wrap row col column panel group form post posts text title "
+    "tab tabs js id ui sticky fixed mobile desktop".split()
+)
+#: Elements that say that text is running text.
+RUNNING = frozenset("p article main".split())
 #: Elements that show nothing, so they don't end a block.
 SILENT = frozenset("script style template noscript".split())
 #: An open element that ends where one of the others begins.
@@ -72,43 +87,69 @@ ENDS = {
 CONTAINERS = frozenset("ul ol dl table tbody thead tfoot select article section main div body html".split())
 
 
-def is_dropped(tag: str, attributes: str) -> bool:
+KEPT, SUSPECT, DROP = 0, 1, 2
+
+
+def names_no_article(value: str) -> bool:
+    """Does one of these class, id or role names consist of words for what is not the article?"""
+    for name in value.split():
+        words = {w for w in re.split(r"[^a-z]+", name) if w}
+        if words & NOT_ARTICLE and words <= NOT_ARTICLE | LAYOUT:
+            return True
+    return False
+
+
+def verdict(tag: str, attributes: str) -> int:
+    """Whether an element is left out for its tag, or as hidden (DROP), or for its names (SUSPECT)."""
     if tag in DROPPED:
-        return True
+        return DROP
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return KEPT
+    suspect = KEPT
     for m in ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         if name == "hidden":
-            return True
+            return DROP
         value = (m[2] or m[3] or m[4] or "").lower()
         if name == "aria-hidden":
             if value == "true":
-                return True
-        elif not NOT_ARTICLE.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+                return DROP
+        elif names_no_article(value):
+            suspect = SUSPECT
+    return suspect
 
 
 class Page:
     """Elements in page order; node 0 is the page itself."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.dropped = ["html"], [-1], [False]
+        self.tag, self.parent, self.dropped, self.suspect = ["html"], [-1], [False], [False]
         #: (node, text) in page order; None for the border of a block.
         self.texts: list[tuple[int, str | None]] = []
         self.body = 0
         self.read(source)
+        self.drop_suspects()
         self.measure()
 
-    def open(self, tag: str, parent: int, dropped: bool) -> int:
+    def open(self, tag: str, parent: int, dropped: bool, suspect: bool = False) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
         self.dropped.append(dropped)
+        self.suspect.append(suspect)
         return len(self.tag) - 1
 
     def read(self, source: str) -> None:
         stack = [0]
+        # depths of the open elements, by tag, and of the containers among them
+        open_at: dict[str, list[int]] = {}
+        containers: list[int] = []
+
+        def push(node: int) -> None:
+            tag = self.tag[node]
+            open_at.setdefault(tag, []).append(len(stack))
+            if tag in CONTAINERS:
+                containers.append(len(stack))
+            stack.append(node)
 
         def say(text: str) -> None:
             if text and not self.dropped[stack[-1]]:
@@ -116,7 +157,12 @@ class Page:
 
         def close(depth: int) -> None:
             while len(stack) > depth:
-                if self.tag[stack.pop()] not in INLINE | SILENT:
+                tag = self.tag[stack.pop()]
+                if stack:
+                    open_at[tag].pop()
+                    if tag in CONTAINERS:
+                        containers.pop()
+                if tag not in INLINE and tag not in SILENT:
                     self.texts.append((stack[-1] if stack else 0, None))
 
         at = 0
@@ -132,28 +178,30 @@ class Page:
                 continue
             tag, attributes = name.lower(), m[3] or m[6] or ""
             if m[1] or m[4]:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[depth]] == tag:
-                        close(depth)
-                        break
+                if open_at.get(tag):
+                    close(open_at[tag][-1])
                 continue
             if tag in ("html", "head", "body"):
                 if tag == "body":
                     close(1)
                     self.body = self.open("body", 0, False)
-                    stack.append(self.body)
+                    push(self.body)
                 elif tag == "head":
-                    stack.append(self.open("head", 0, True))
+                    push(self.open("head", 0, True))
                 continue
             block = tag not in INLINE and tag not in SILENT
             if block:
-                self.end_implied(stack, tag, close)
-            dropped = self.dropped[stack[-1]] or is_dropped(tag, attributes)
+                # an open paragraph, list item or cell of the same container ends here
+                ended = max((open_at[t][-1] for t in ("p", *ENDS.get(tag, ())) if open_at.get(t)), default=0)
+                if ended > (containers[-1] if containers else 0):
+                    close(ended)
+            found = verdict(tag, attributes)
+            dropped = self.dropped[stack[-1]] or found == DROP
             if tag == "br":
                 say(" ")
             elif block:
                 self.texts.append((stack[-1], None))
-            node = self.open(tag, stack[-1], dropped)
+            node = self.open(tag, stack[-1], dropped, found == SUSPECT)
             if tag in VOID or attributes.endswith("/") and tag not in RAW and tag not in INLINE and tag != "p":
                 continue
             if tag in RAW:
@@ -162,18 +210,36 @@ class Page:
                     self.texts.append((node, source[at : end.start() if end else len(source)]))
                 at = end.end() if end else len(source)
                 continue
-            stack.append(node)
+            push(node)
         close(0)
 
-    def end_implied(self, stack: list[int], tag: str, close) -> None:
-        """Close an open paragraph, list item or cell that a new block ends."""
-        for depth in range(len(stack) - 1, 0, -1):
-            open_tag = self.tag[stack[depth]]
-            if open_tag == "p" or open_tag in ENDS.get(tag, ()):
-                close(depth)
-                return
-            if open_tag in CONTAINERS:
-                return
+    def drop_suspects(self) -> None:
+        """Leave out what its names mark, but not the wrapper of the page's text."""
+        n = len(self.tag)
+        within, in_link = [0] * n, [False] * n
+        plain, own, running = [0] * n, [0] * n, [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            within[i] = i if self.suspect[i] else within[up]
+            in_link[i] = self.tag[i] == "a" or in_link[up]
+        for node, text in self.texts:
+            if text is not None and not in_link[node]:
+                plain[node] += len("".join(text.split()))
+        for i in range(n):
+            own[within[i]] += plain[i]
+        for i in range(n - 1, 0, -1):
+            plain[self.parent[i]] += plain[i]
+            running[within[i]] += self.tag[i] in RUNNING and plain[i] > 0 and not self.dropped[i]
+        total, free, free_running = plain[0], own[0], running[0]
+        for i in range(1, n):
+            if self.dropped[self.parent[i]]:
+                self.dropped[i] = True
+            elif self.suspect[i]:
+                if free_running or 10 * free >= total or 2 * plain[i] <= total:
+                    self.dropped[i] = True
+                else:
+                    free, free_running = free + own[i], running[i]
+        self.texts = [(node, text) for node, text in self.texts if text is None or not self.dropped[node]]
 
     def measure(self) -> None:
         n = len(self.tag)
@@ -223,16 +289,22 @@ class Page:
             best = self.body
         path = list(self.below(best))
         threshold = min(self.density[i] for i in path[: path.index(self.body) + 1])
-        outer = next((i for i in path if self.tag[i] in ("article", "main")), best)
+        outer = next((i for i in path if self.tag[i] in ("article", "main")), None)
+        if outer is None:
+            titled = [False] * n
+            for i in range(n - 1, self.body, -1):
+                if inside[i] and (titled[i] or self.tag[i] == "h1" and self.chars[i]):
+                    titled[i] = titled[self.parent[i]] = True
+            outer = next((i for i in path[: path.index(self.body)] if titled[i]), best)
         chosen = set()
-        on_path = set(path)
+        on_path, in_outer = set(path), set(path[: path.index(outer) + 1])
         for i in range(n):
             if not inside[i]:
                 continue
             up = self.parent[i]
             if i == best or up in chosen:
                 chosen.add(i)
-            elif i == outer or (up in on_path and outer in self.below(up) and self.counts(i, threshold)):
+            elif i == outer or (up in in_outer and self.counts(i, threshold)):
                 # beside the densest part, in the same article
                 chosen.add(i)
                 if i in on_path:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -274,6 +275,59 @@ def test_licenses(spark, corpus, docs):
         assert labels <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
 
 
+def template_pattern(template):
+    """The same regions as a regular expression over words that each end with a space."""
+    token = {"<<optional>>": "(?:", "<<end>>": ")?"}
+    parts = [
+        token.get(t) or (f"(?:[^ ]+ ){{0,{t[6:-2]}}}" if t.startswith("<<any:") else re.escape(t) + " ") for t in template.split()
+    ]
+    return re.compile("(?<![^ ])" + "".join(parts))
+
+
+PATTERNS = {label: template_pattern(t) for label, t in O5.TEMPLATES.items()}
+
+
+def labels_by_pattern(words):
+    text = "".join(w + " " for w in words)
+    return {label for label, p in PATTERNS.items() if p.search(text)}
+
+
+def test_template_labels(spark, corpus, docs):
+    by_id = dict(docs)
+    for r in O5.op5_license_templates(spark, corpus).collect():
+        found = labels_by_pattern(ALNUM.findall(lower(by_id[r.doc_id])))
+        assert set(filter(None, r.labels.split(","))) == found | set(filter(None, r.base_labels.split(",")))
+
+
+@pytest.mark.parametrize("label", sorted(O5.TEMPLATES))
+def test_template_wording(label):
+    """Optional parts in and out, replaceable words in number, and each mandatory word altered, left out or doubled."""
+    words, depth, mandatory, full = O5.TEMPLATES[label].split(), 0, [], []
+    for w in words:
+        depth += (w == "<<optional>>") - (w == "<<end>>")
+        if w.startswith("<<any:"):
+            full += ["some"] * int(w[6:-2])
+        elif not w.startswith("<<"):
+            full.append(w)
+            mandatory += [w] if depth == 0 else []
+    texts = [mandatory, full, ["before", *full, "after"]]
+    for text in texts:
+        assert label in O5.match_templates(text)[0] and O5.match_templates(text)[1] == 1.0
+        assert O5.HINT.search(" ".join(text).encode())
+    step = max(1, len(mandatory) // 25)
+    for at in range(0, len(mandatory), step):
+        for changed in ([*mandatory[:at], "zzz", *mandatory[at + 1 :]], mandatory[:at] + mandatory[at + 1 :], [*mandatory[:at], mandatory[at], *mandatory[at:]]):
+            assert O5.match_templates(changed)[0] == labels_by_pattern(changed)
+
+
+def test_contradicting_disclaimer():
+    mit = O5.TEMPLATES["mit"].replace("<<any:3>>", "software").replace("<<any:8>>", "the authors")
+    mit = re.sub("<<optional>>.*?<<end>> ", "", mit)
+    assert O5.match_templates(mit.split())[0] == {"mit"}
+    assert O5.match_templates(mit.replace("without warranty", "with full warranty").split())[0] == set()
+    assert O5.match_templates(mit[: mit.index("the software is provided")].split())[0] == set()
+
+
 def test_template_regions():
     labels = lambda text: O5.match_templates(text.split())[0]
     assert labels("copyright c 2020 some body all rights reserved") == {"reserved-notice"}
@@ -312,6 +366,37 @@ def test_article_in_several_parts():
         assert O6.extract(page) == "\n".join(said)
 
 
+@pytest.mark.parametrize(
+    "names", ["content has-sidebar", "layout no-comments", "with-ads", "share-price-news", "search-results-article", "sidebar", "site-header"]
+)
+def test_wrappers_stay(names):
+    """A wrapper's name doesn't drop the article, and what is named inside of it goes."""
+    said = [f"Sentence {i} of the article is long enough to count as text." for i in range(6)]
+    inner = "".join(f"<p>{s}</p>" for s in said)
+    page = f"<body><div class='{names}'><h1>T</h1>{inner}<div class='comments'><p>bad</p></div></div><div>foot</div></body>"
+    assert O6.extract(page) == "\n".join(["T", *said])
+
+
+def test_long_comments_go():
+    said = "<div><p>The article says only this much, in one sentence.</p></div>"
+    for name in ("comments", "comment-list", "reader comments", "sidebar-left", "main-nav"):
+        page = f"<body>{said}<div class='{name}'>" + "<p>A reader says something long about it, again and again.</p>" * 30 + "</div></body>"
+        assert O6.extract(page) == "The article says only this much, in one sentence."
+
+
+def test_article_tag_does_not_matter(corpus):
+    for html in pd.read_parquet(f"{corpus}/pages.parquet").html:
+        renamed = html.replace("<article", "<div").replace("</article", "</div")
+        assert O6.extract(renamed) == O6.extract(html)
+
+
+@pytest.mark.parametrize("source", ["<b>" * 50000 + "x", "<p><section>" + "<h1>" * 50000 + "x", "<b>x</i>" * 50000, "<div>" * 50000 + "x"])
+def test_deep_pages_are_read_in_time(source):
+    start = time.perf_counter()
+    O6.extract(source)
+    assert time.perf_counter() - start < 10
+
+
 def test_pages(spark, corpus):
     pages = pd.read_parquet(f"{corpus}/pages.parquet").set_index("page_id")
     rows = O6.op6_text_density(spark, corpus).collect()

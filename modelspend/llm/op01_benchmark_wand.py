@@ -13,8 +13,10 @@ Passages are twice as long as the longest item and start at every item length,
 so an item that stands in a text lies wholly in one of them.
 
 The index is made with Spark: document frequencies and lengths over all items.  It is
-sent to the tasks in shards of about ``SHARD_POSTINGS`` postings of items, one pass over the texts for
-each, so what is broadcast is bounded whatever the number of items.  Passages
+cut into shards of about ``SHARD_POSTINGS`` postings of items; each is built in a task and stored as bytes.
+The texts are searched in one pass for each shard.  Where there are several, a pass's leaks are stored and its
+shard is released before the next one is sent, so what the driver and the tasks hold is bounded whatever
+the number of items.  Passages
 are first held, many at a time, against the sums of their words' largest
 impacts within each of at most ``RANGES`` ranges of items, the bound by which the blocks
 of WAND find no pivot.  The words of many items are at first taken as all
@@ -29,13 +31,16 @@ empty tables give no rows; other columns are ignored; whole texts are read.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -267,8 +272,11 @@ def leaks_of(index: Index, passage: list[bytes], item: int) -> tuple[float, floa
     return overlap(words, have, passage), overlap(words[:q], have, passage), overlap(answer, have, passage)
 
 
-def find_leaks(index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def find_leaks(shard: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The search of a task for the leaks of one shard's items; ``shard`` holds the bytes of its index."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = pickle.loads(shard.value)
         for block in text_blocks(batches):
             best: dict[tuple[int, int], tuple[float, float, float, float]] = {}
             for doc, passage, found in passages_found(index, block):
@@ -338,22 +346,40 @@ def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, l
             yield d, passage, found
 
 
+def build_shard(key: tuple, items: pd.DataFrame, postings: pd.DataFrame) -> pd.DataFrame:
+    """The index of one shard's (item, text) and (item, term, impact), as bytes."""
+    rows = [(item, None, text) for item, text in zip(items["item"].tolist(), items["text"].tolist(), strict=True)]
+    entries = zip(postings["item"].tolist(), postings["term"].tolist(), postings["impact"].tolist(), strict=True)
+    return pd.DataFrame({"shard": [key[0]], "index": [pickle.dumps(build_index(rows, list(entries)))]})
+
+
+def index_shards(items: DataFrame, postings: DataFrame) -> DataFrame:
+    """(shard, index): the items' index in shards of about ``SHARD_POSTINGS`` postings, stored."""
+    shard = F.pmod(F.xxhash64("item"), F.lit(max(1, -(-postings.count() // SHARD_POSTINGS)))).alias("shard")
+    by_shard = [df.select(shard, *columns).groupBy("shard") for df, columns in ((items, ("item", "text")), (postings, postings.columns))]
+    return stage(by_shard[0].cogroup(by_shard[1]).applyInPandas(build_shard, "shard long, index binary"), "shards")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score, overlap, question_overlap, answer_overlap): every leak of an item in a text."""
     spark = docs.sparkSession
     benchmark = stage(benchmark.select("item_id", "text").withColumn("item", F.monotonically_increasing_id()), "items")
     postings = stage(item_postings(benchmark), "postings")
-    shards = max(1, -(-postings.count() // SHARD_POSTINGS))
+    index = index_shards(benchmark, postings)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item long, score double, overlap double, question_overlap double, answer_overlap double"
-    shard_of = F.pmod(F.xxhash64("item"), F.lit(shards))
+    # the numbers of the shards, of which there is one for each SHARD_POSTINGS postings
+    shards = [r.shard for r in index.select("shard").orderBy("shard").collect()]
     found = None
-    for shard in range(shards):
-        items = [(r.item, r.item_id, r.text) for r in benchmark.filter(shard_of == shard).collect()]
-        rows = [(r.item, r.term, r.impact) for r in postings.filter(shard_of == shard).collect()]
-        index = spark.sparkContext.broadcast(build_index(items, rows))
-        one = docs.select("doc_id", "text").mapInArrow(lambda it, index=index: find_leaks(index.value)(it), schema)
+    for shard in shards:
+        sent = spark.sparkContext.broadcast(bytes(index.filter(F.col("shard") == shard).first()["index"]))
+        one = docs.select("doc_id", "text").mapInArrow(find_leaks(sent), schema)
+        if len(shards) > 1:
+            one = stage(one, f"leaks-{shard}")
+            sent.destroy()
         found = one if found is None else found.unionAll(one)
+    if found is None:
+        found = spark.createDataFrame([], schema)
     return found.join(benchmark.select("item", "item_id"), "item").drop("item")
 
 

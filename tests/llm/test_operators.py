@@ -57,6 +57,14 @@ def test_leaks(spark, corpus, docs):
     assert all(r.overlap >= 0.8 or r.question_overlap >= 0.8 for r in got)
 
 
+def test_leaks_in_shards(spark, corpus, monkeypatch):
+    """Several shards find what one finds."""
+    rows = lambda: sorted(tuple(round(v, 9) for v in r) for r in O1.op1_benchmark_wand(spark, corpus).collect())
+    one = rows()
+    monkeypatch.setattr(O1, "SHARD_POSTINGS", 60)
+    assert rows() == one and len(one) > 0
+
+
 def test_wand_finds_what_a_scan_finds():
     rng = np.random.default_rng(1)
     items = [(i, i, " ".join(f"w{w}" for w in rng.zipf(1.5, 12) % 60)) for i in range(150)]

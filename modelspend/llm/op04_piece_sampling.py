@@ -10,7 +10,9 @@ it is.
 
 Texts are cut where no piece could reach across, and the lattice of each
 distinct cut is built once for a block of texts, with numpy over all cuts of
-the block at once.  A character without a piece goes to its bytes' pieces.
+the block at once.  A cut longer than a window is filtered window by window: only
+the weights that the next window needs are kept, and sampling builds each window
+again, from the last to the first.  A character without a piece goes to its bytes' pieces.
 Spaces are pieces' own; the marker character itself, standing in a text, counts as any
 other character, so decoding always gives the text back.
 
@@ -25,6 +27,8 @@ import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
+from math import exp, inf, log
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +49,8 @@ BLOCK_BYTES = 1 << 20
 SLOT_BITS = 18
 #: Edges of lattices that a worker keeps for later blocks; beyond them, new cuts' lattices are built for one block.
 KEPT_EDGES = 1_500_000
+#: Cuts of more bytes are filtered in windows of about as many.
+WINDOW_BYTES = 1 << 16
 SPACE = 0x20
 #: Bytes of a UTF-8 character by its first byte; 0 for the bytes inside one.
 CHAR_SIZE = np.array([1] * 0x80 + [0] * 0x40 + [2] * 0x20 + [3] * 0x10 + [4] * 0x10, np.int64)
@@ -317,12 +323,76 @@ def encode_cuts(
     return pieces[ragged(place, count)], count
 
 
+def window_bounds(data: np.ndarray, window: int) -> list[int]:
+    """Ends of windows of about ``window`` bytes, at which characters begin, from 0 to the end of the data."""
+    bounds = [0]
+    while len(data) - bounds[-1] > window:
+        end = bounds[-1] + window
+        while end < len(data) and not CHAR_SIZE[data[end]]:
+            end += 1
+        bounds.append(end)
+    return [*bounds, len(data)] if bounds[-1] < len(data) else bounds
+
+
+def window_edges(
+    data: np.ndarray, low: int, high: int, vocab: Vocabulary
+) -> tuple[list[int], list[int], list[int], list[float]]:
+    """Edges that end in the window: bounds by their end, sizes, pieces and weights."""
+    begin = max(0, low - vocab.longest)
+    part = data[begin:high]
+    end, size, piece = edges_of(part, np.zeros(len(part), np.int64), np.array([len(part)]), vocab)
+    some = slice(int(np.searchsorted(end, low - begin, side="right")), None)
+    bounds = np.searchsorted(end[some], np.arange(low - begin + 1, high - begin + 2))
+    return bounds.tolist(), size[some].tolist(), piece[some].tolist(), vocab.weight[piece[some]].tolist()
+
+
+def filter_window(before: list[float], bounds: list[int], size: list[int], weight: list[float]) -> list[float]:
+    """Log weights of the paths to the nodes ``before`` the window and to its own."""
+    reach = before.copy()
+    for node, (a, b) in enumerate(pairwise(bounds), start=len(before)):
+        ways = [reach[node - size[e]] + weight[e] for e in range(a, b)]
+        most = max(ways, default=-inf)
+        reach.append(most + log(sum([exp(way - most) for way in ways])) if most > -inf else -inf)
+    return reach
+
+
+def encode_long_cut(data: np.ndarray, seed: np.uint64, vocab: Vocabulary, window: int) -> np.ndarray:
+    """Sampled piece ids of one cut, in memory for a window's lattice and the weights between windows."""
+    limits = window_bounds(data, window)
+    span = vocab.longest
+    states = [[-inf] * (span - 1) + [0.0]]
+    for low, high in pairwise(limits):
+        bounds, size, _, weight = window_edges(data, low, high, vocab)
+        states.append(filter_window(states[-1], bounds, size, weight)[-span:])
+    parts, node, step = [], len(data), 0
+    for before, low, high in zip(states[-2::-1], limits[-2::-1], limits[:0:-1], strict=True):
+        bounds, size, piece, weight = window_edges(data, low, high, vocab)
+        reach = filter_window(before, bounds, size, weight)
+        steps = np.arange(step + 1, step + 1 + high - low, dtype=np.uint64)
+        draw = ((mix(seed + steps * np.uint64(0xD1342543DE82EF95)) >> np.uint64(32)) / 2.0**32).tolist()
+        taken = []
+        while node > low:
+            here = span + node - low - 1
+            rest, chosen = draw[len(taken)], -1
+            for e in range(bounds[node - low - 1], bounds[node - low]):
+                share = exp(reach[here - size[e]] + weight[e] - reach[here])
+                if share > 0:  # the last of them where rounding leaves a rest
+                    chosen, rest = e, rest - share
+                    if rest < 0:
+                        break
+            taken.append(piece[chosen])
+            node -= size[chosen]
+        step += len(taken)
+        parts.append(np.array(taken[::-1], np.int32))
+    return np.concatenate(parts[::-1])
+
+
 def encode_texts(
     data: np.ndarray, bounds: np.ndarray, keys: np.ndarray, vocab: Vocabulary
 ) -> tuple[np.ndarray, np.ndarray]:
     """Sampled piece ids of all texts, one after another, and the bounds of each text's ids.
 
-    Cuts are independent, so a very long text takes no more memory than a block.
+    Cuts are independent and long ones filtered in windows, so lattices take no more memory than a block.
     """
     data, bounds = with_leading_space(data, bounds)
     starts = cut_starts(data, bounds, vocab)
@@ -331,9 +401,16 @@ def encode_texts(
     in_text = np.arange(len(starts)) - np.repeat(first[:-1], np.diff(first))
     seeds = mix(np.repeat(keys, np.diff(first)) + in_text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     pieces, counts, at = [], [], 0
+    long = np.append(np.flatnonzero(ends - starts > WINDOW_BYTES), len(starts))
     while at < len(starts):
-        upto = max(at + 1, int(np.searchsorted(ends, starts[at] + 2 * BLOCK_BYTES, side="right")))
-        some = encode_cuts(data, starts[at:upto], ends[at:upto], seeds[at:upto], vocab)
+        stop = int(long[np.searchsorted(long, at)])
+        if stop == at:
+            ids = encode_long_cut(data[starts[at] : ends[at]], seeds[at], vocab, WINDOW_BYTES)
+            some, upto = (ids, np.array([len(ids)])), at + 1
+        else:
+            upto = max(at + 1, int(np.searchsorted(ends, starts[at] + 2 * BLOCK_BYTES, side="right")))
+            upto = min(upto, stop)
+            some = encode_cuts(data, starts[at:upto], ends[at:upto], seeds[at:upto], vocab)
         pieces.append(some[0])
         counts.append(some[1])
         at = upto

@@ -268,6 +268,42 @@ def test_pieces_are_drawn_by_weight():
         assert abs(seen[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-4
 
 
+@pytest.mark.parametrize("window", [4, 7, 64, 1 << 16])
+def test_long_cuts_filter_as_short_ones(window):
+    vocab = O4.vocabulary(O4.MODEL)
+    n = 4000
+    text = " thenaïve語".encode()
+    data = np.frombuffer(text, np.uint8)
+    seeds = O4.mix(np.arange(n, dtype=np.uint64))
+    whole = np.frombuffer(text * n, np.uint8)
+    starts = np.arange(n) * len(text)
+    ids, counts = O4.encode_cuts(whole, starts, starts + len(text), seeds, vocab)
+    ends = np.cumsum(counts)
+    short = Counter(tuple(ids[b - c : b].tolist()) for b, c in zip(ends, counts, strict=True))
+    long = Counter()
+    same = 0
+    for i in range(n):
+        got = O4.encode_long_cut(data, seeds[i], vocab, window)
+        long[tuple(got.tolist())] += 1
+        same += got.tolist() == ids[ends[i] - counts[i] : ends[i]].tolist()
+    # the same draws meet the same shares, up to rounding
+    assert same >= 0.999 * n
+    assert sum((short - long).values()) <= 0.001 * n
+
+
+def test_a_text_without_cuts_takes_windows():
+    vocab = O4.vocabulary(O4.MODEL)
+    text = np.frombuffer(b"a" * 300_000 + "語ï".encode() * 40_000, np.uint8)
+    bounds = np.array([0, 3, len(text), len(text)])
+    ids, limits = O4.encode_texts(text, bounds, np.arange(3, dtype=np.uint64), vocab)
+    back, ends = O4.decode_pieces(ids, vocab)
+    ends = np.concatenate([[0], ends])[limits]
+    for i in range(3):
+        assert back[ends[i] + 1 : ends[i + 1]].tobytes() == text[bounds[i] : bounds[i + 1]].tobytes()
+    alone, _ = O4.encode_texts(text[3:], np.array([0, len(text) - 3]), np.array([1], np.uint64), vocab)
+    assert alone.tolist() == ids[limits[1] : limits[2]].tolist()
+
+
 def test_licenses(spark, corpus, docs):
     by_id = dict(docs)
     for r in O5.op5_license_templates(spark, corpus).collect():

@@ -7,7 +7,8 @@ linked texts share a component, named by its smallest doc_id.
 Equal fingerprints are one entry from the start.  By the pigeonhole principle
 two entries within 4 bits agree on at least two of six bands of bits, so each
 entry goes to the 15 shards of its pairs of bands, and every link lies in some
-shard.  A shard of more than ``TREE`` entries, which is where thousands of near
+shard.  Where entries are so many that a usual shard of 21 bits would outgrow one tree
+(some two billion), seven bands with three alike, and so on, make smaller shards.  A shard of more than ``TREE`` entries, which is where thousands of near
 copies meet, is split into blocks; each pair of its blocks is a unit of work of
 bounded size on its own, so no link is lost and no task gets the whole shard.
 In each unit a BK-tree is built, in which a child hangs at the
@@ -28,12 +29,12 @@ rows with ids; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +43,8 @@ from modelspend.llm.shared import free_name, read_table, stage, text_blocks
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-#: Bits of each of the six bands; pairs of bands give the 15 shard keys.
-BANDS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
+#: Least bands of bits; all but as many as the radius are alike in a linked pair.
+LEAST_BANDS = RADIUS + 2
 UNSIGNED = (1 << 64) - 1
 #: Most entries of one tree.
 TREE = 1024
@@ -191,12 +192,31 @@ def unit_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
-def links(prints: DataFrame) -> DataFrame:
+def band_count(entries: int, tree: int = TREE) -> int:
+    """Bands at which a usual shard of so many entries fits one tree."""
+    bands = LEAST_BANDS
+    while entries >> 64 * (bands - RADIUS) // bands > tree and bands < 16:
+        bands += 1
+    return bands
+
+
+def shard_keys(bands: int) -> list[Column]:
+    """One key for each choice of the bands that may be alike: the choice's number, then its bits."""
+    limits = [64 * i // bands for i in range(bands + 1)]
+    widths = [b - a for a, b in pairwise(limits)]
+    out = []
+    for number, choice in enumerate(combinations(range(bands), bands - RADIUS)):
+        key = F.lit(number).cast("long")
+        for i in choice:
+            part = F.shiftrightunsigned("print", limits[i]).bitwiseAND((1 << widths[i]) - 1)
+            key = F.shiftleft(key, widths[i]).bitwiseOR(part)
+        out.append(key)
+    return out
+
+
+def links(prints: DataFrame, bands: int = LEAST_BANDS) -> DataFrame:
     """(a, b): links between distinct fingerprints, enough of them to connect all that are within the radius."""
-    mask = lambda i: F.shiftrightunsigned("print", BANDS[i][0]).bitwiseAND((1 << BANDS[i][1]) - 1)
-    keys = [
-        (F.lit(n << 22) + mask(i) * (1 << 11) + mask(j)).cast("long") for n, (i, j) in enumerate(combinations(range(6), 2))
-    ]
+    keys = shard_keys(bands)
     entries = prints.select("print", F.explode(F.array(*keys)).alias("shard"))
     sizes = entries.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1")
     entries = entries.join(sizes, "shard")
@@ -245,7 +265,7 @@ def group_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, print, component_id) of every row."""
     rows = stage(fingerprints(docs), "prints")
     distinct = stage(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
-    rooted = components(links(distinct.select("print")))
+    rooted = components(links(distinct.select("print"), band_count(distinct.count())))
     known = distinct.join(rooted.withColumnRenamed("node", "print"), "print", "left")
     known = known.withColumn("root", F.coalesce("root", "print"))
     named = stage(known, "rooted")
@@ -265,7 +285,7 @@ def first_rows(docs: DataFrame) -> DataFrame:
     rows = stage(fingerprints(keyed), "prints")
     # equal fingerprints are one entry before anything is joined
     distinct = stage(rows.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
-    roots = components(links(distinct.select("print"))).withColumnRenamed("node", "print")
+    roots = components(links(distinct.select("print"), band_count(distinct.count()))).withColumnRenamed("node", "print")
     rooted = distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
     gone = stage(rows.select("doc_id.row").join(kept, "row", "left_anti"), "copies").withColumnRenamed("row", row)

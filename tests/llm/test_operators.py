@@ -225,6 +225,24 @@ def test_split_shards_lose_no_link(spark, monkeypatch):
     assert {v: got.get(v, v) for v in values} == rooted
 
 
+@pytest.mark.parametrize("bands", [6, 7, 8])
+def test_any_number_of_bands_finds_all_links(spark, bands):
+    rng = np.random.default_rng(bands)
+    centres = [int(c) for c in rng.integers(0, 2**64, 40, np.uint64)]
+    values = {c ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 7), replace=False)) for c in centres for _ in range(20)}
+    prints = {v - (1 << 64) if v >> 63 else v: v for v in values}
+    links = O3.links(spark.createDataFrame([(v,) for v in prints], "print long"), bands)
+    got = {r.node: r.root for r in O3.components(links).collect()}
+    assert {v: got.get(v, v) for v in prints} == groups(prints)
+
+
+def test_bands_follow_the_entries():
+    counts = [O3.band_count(n) for n in (0, 10**6, 2 * 10**9, 10**10, 10**11, 10**12)]
+    assert counts == [6, 6, 6, 7, 7, 8]
+    # keys of different choices never meet
+    assert len(O3.shard_keys(7)) == 35
+
+
 def test_pieces(spark, corpus, docs):
     by_id = dict(docs)
     rows = O4.op4_piece_sampling(spark, corpus).collect()

@@ -54,6 +54,9 @@ RANGES = 256
 #: Words in more than this share of the items count as common.
 COMMON = 0.05
 SHARD_POSTINGS = 200_000
+#: Bytes of text that a task searches at a time, unless a single text is longer, and rows of ranges it holds.
+BLOCK_BYTES = 1 << 20
+RANGE_ROWS = 1 << 13
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SENTENCE_END = r"[.!?]\s+"
 
@@ -277,7 +280,7 @@ def find_leaks(shard: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterato
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = pickle.loads(shard.value)
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, BLOCK_BYTES):
             best: dict[tuple[int, int], tuple[float, float, float, float]] = {}
             for doc, passage, found in passages_found(index, block):
                 have = set(passage)
@@ -298,6 +301,31 @@ def find_leaks(shard: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return search
 
 
+def passage_bounds(index: Index, of_piece: np.ndarray, of_term: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The most that the words of each piece and the next can add up to in any range; ``last`` pieces have no next.
+
+    The terms ``of_term`` stand by piece.  The ranges of about ``RANGE_ROWS`` of them are held at a time, so memory
+    does not grow with the texts.
+    """
+    rare = index.rare[of_term]
+    term, cuts = of_term[rare], np.searchsorted(of_piece[rare], np.arange(len(last) + 1))
+    both, low = np.empty(len(last), np.float32), 0
+    while low < len(last):
+        high = int(np.searchsorted(cuts, cuts[low] + RANGE_ROWS, side="right")) - 1
+        high = min(max(high, low + 1), low + RANGE_ROWS, len(last))
+        upto = min(high + 1, len(last))
+        bound = np.zeros((upto - low, index.ranges.shape[1]), np.float32)
+        some = cuts[low : upto + 1] - cuts[low]
+        full = np.flatnonzero(np.diff(some))
+        if len(full):
+            rows = index.ranges[term[cuts[low] : cuts[upto]]]
+            bound[full] = np.add.reduceat(rows, some[full], axis=0)
+        bound[:-1] += np.where(last[low : upto - 1, None], 0, bound[1:])
+        both[low:high] = (bound[: high - low] + index.slack).max(axis=1, initial=0)
+        low = high
+    return both
+
+
 def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], list[tuple[int, float]]]]:
     """(text's place in the block, passage, entries retrieved) for the passages that retrieve any."""
     data, bounds = joined_bytes(block.column("text"))
@@ -317,18 +345,9 @@ def passages_found(index: Index, block: pa.RecordBatch) -> Iterator[tuple[int, l
     pairs = np.unique(piece * len(index.terms) + term[known])
     of_piece, of_term = np.divmod(pairs, len(index.terms))
     cuts = np.searchsorted(of_piece, np.arange(base[-1] + 1))
-    bound = np.zeros((base[-1], index.ranges.shape[1]), np.float32)
-    rare = index.rare[of_term]
-    piece_of_rare, rare_term = of_piece[rare], of_term[rare]
-    rare_cuts = np.searchsorted(piece_of_rare, np.arange(base[-1]))
-    full = np.unique(piece_of_rare)
-    if len(full):
-        bound[full] = np.add.reduceat(index.ranges[rare_term], rare_cuts[full], axis=0)
     last = np.zeros(base[-1], bool)
     last[base[1:] - 1] = True
-    both = bound.copy()
-    both[:-1] += np.where(last[:-1, None], 0, bound[1:])
-    both = (both + index.slack).max(axis=1, initial=0)
+    both = passage_bounds(index, of_piece, of_term, last)
     # a text's last half is in the passage before it, unless it is the only one
     alone = np.zeros(base[-1], bool)
     alone[base[:-1]] = pieces == 1

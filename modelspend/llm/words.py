@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -28,13 +26,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_ODD), -1, 2**64))
-    return tuple(
-        np.concatenate([[np.uint64(1)], np.full(size, base, np.uint64)]).cumprod(dtype=np.uint64)
-        for base in (_ODD, inverse)
-    )
+#: Powers of the base and of its inverse, for the longest data so far.
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """More than ``size`` powers of the base, and of its inverse."""
+    if not _POWERS or len(_POWERS[0]) <= size:
+        most = 1 << max(20, size.bit_length())
+        inverse = np.uint64(pow(int(_ODD), -1, 2**64))
+        _POWERS[:] = [
+            np.concatenate([[np.uint64(1)], np.full(most, base, np.uint64)]).cumprod(dtype=np.uint64)
+            for base in (_ODD, inverse)
+        ]
+    return _POWERS
 
 
 def word_bounds(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,17 +67,13 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     """What :func:`span_hashes` needs of ``data``."""
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE_VALUES[data] * _powers(_size(data))[0][: len(data)], out=sums[1:])
+    np.cumsum(_BYTE_VALUES[data] * _powers(len(data))[0][: len(data)], out=sums[1:])
     return sums
 
 
-def _size(data: np.ndarray) -> int:
-    return 1 << max(22, len(data).bit_length())
-
-
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes of each span; the same wherever these bytes stand."""
-    h = (sums[ends] - sums[starts]) * _powers(_size(sums[1:]))[1][starts]
+    h = (sums[ends] - sums[starts]) * _powers(len(sums))[1][starts]
     return mix(h ^ ((ends - starts).astype(np.uint64) * _ODD))
 
 

@@ -2,13 +2,18 @@
 
 import hashlib
 import math
+import pickle
+import random
 import re
 import time
+import tracemalloc
+import types
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -65,6 +70,27 @@ def test_leaks_in_shards(spark, corpus, monkeypatch):
     assert rows() == one and len(one) > 0
 
 
+def test_search_memory_is_bounded():
+    """Words of many items in long texts: their ranges are held a part at a time, and every copied item is found."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(6000)]
+    items = [(i, i, " ".join(rng.choices(words, k=60))) for i in range(300)]
+    postings = [(i, w, c / 60) for i, _, t in items for w, c in Counter(t.split()).items()]
+    shard = types.SimpleNamespace(value=pickle.dumps(O1.build_index(items, postings)))
+    texts = [" ".join([*rng.choices(words, k=12_000), items[d][2], *rng.choices(words, k=12_000)]) for d in range(20)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(21)), "text": [*texts, " ".join(texts)]})
+    list(O1.find_leaks(shard)(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    try:
+        found = [r for out in O1.find_leaks(shard)(iter([batch])) for r in out.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    whole = sorted((r["doc_id"], r["item"]) for r in found if r["overlap"] == 1)
+    assert whole == sorted([(d, d) for d in range(20)] + [(20, d) for d in range(20)])
+    assert peak < 350e6
+
+
 def test_wand_finds_what_a_scan_finds():
     rng = np.random.default_rng(1)
     items = [(i, i, " ".join(f"w{w}" for w in rng.zipf(1.5, 12) % 60)) for i in range(150)]
